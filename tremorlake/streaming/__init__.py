@@ -1,0 +1,5 @@
+"""No streaming operators: every read of the engine is bounded.
+
+The feed is polled into dated documents and loaded in batches, so there is no
+watermark, window or state to keep.
+"""
