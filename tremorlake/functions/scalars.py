@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 # pattern and formats results must follow.
 AREA_PATTERN = r"of (.+)$"
 AREA_SEPARATOR = " of "
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_SECONDS_LENGTH = len("2024-01-30T12:00:00")
+_MICROS_LENGTH = len("2024-01-30T12:00:00.000000")
 # Years 1 to 9999, the range a calendar time can take.
 FIRST_EPOCH_MS = -62_135_596_800_000
 LAST_EPOCH_MS = 253_402_300_799_999
@@ -33,12 +34,11 @@ def epoch_ms_to_timestamp(ms: Column | str) -> Column:
 
 
 def epoch_ms_to_iso(ms: Column | str) -> Column:
-    """Epoch milliseconds to UTC ISO text; the fraction shows only if not zero."""
+    """Epoch milliseconds to UTC ISO text, with six digits of fraction or none."""
     value = _column(ms).try_cast("bigint")
-    moment = F.timestamp_millis(value)
-    text = F.when(value % 1000 == 0, F.date_format(moment, ISO_SECONDS)).otherwise(
-        F.date_format(moment, ISO_MICROS)
-    )
+    shown = F.timestamp_millis(value).cast("string")
+    digits = F.when(F.length(shown) > _SECONDS_LENGTH, _MICROS_LENGTH).otherwise(_SECONDS_LENGTH)
+    text = F.rpad(F.translate(shown, " ", "T"), digits, F.lit("0"))
     return F.when(value.between(FIRST_EPOCH_MS, LAST_EPOCH_MS), text)
 
 
@@ -53,11 +53,6 @@ def area_split(place: Column | str) -> Column:
     return F.coalesce(F.get(pieces, F.lit(1)), F.lit(""))
 
 
-def falsy_to_empty(text: Column | str) -> Column:
-    """Null and empty text become the empty text."""
-    return F.coalesce(_column(text), F.lit(""))
-
-
 def load_clock(as_of: dt.datetime | None = None) -> Column:
     """The load timestamp: one value for the whole query, or a given instant.
 

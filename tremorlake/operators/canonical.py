@@ -1,8 +1,13 @@
 """The canonical semantics: long names, missing values take defaults.
 
-Input is a frame of bronze lines (column `value`). Each line is parsed into a
-variant once; everything up to the flat row happens in the task that reads the
-line, without a shuffle.
+Input is a frame of bronze lines (column `value`); everything up to the flat
+row happens in the task that reads the line, without a shuffle.
+
+A line is read twice at most. The first read is a typed JSON parse, quick and
+right for every document whose leaves have their declared types. It notes
+documents with anything odd: a leaf of another type, a null that may be an
+error, text that is no JSON. Only those are read again as a variant, which
+remembers what each leaf was and so can follow the rules to the letter.
 """
 
 from __future__ import annotations
@@ -11,10 +16,20 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import FloatType, IntegerType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tremorlake.functions import variants as V
-from tremorlake.functions.scalars import area_split, record_clock_iso
+from tremorlake.functions.scalars import area_split, epoch_ms_to_iso, record_clock_iso
 from tremorlake.operators.shape import conform_schema
 from tremorlake.schemas import (
     CANONICAL_GOLD,
@@ -33,140 +48,239 @@ WAREHOUSE_TAG = "bq"
 # parsed one feature at a time, so no document is too long.
 WHOLE_DOCUMENT_BYTES = 32 * 1024 * 1024
 
-_INT_PROPERTIES = [
-    CANONICAL_SOURCES[f.name]
-    for f in CANONICAL_SILVER.fields
-    if isinstance(f.dataType, IntegerType)
-]
+_MISTYPED = "mistyped"
+_JSON_OPTIONS = {"columnNameOfCorruptRecord": _MISTYPED, "allowSingleQuotes": "false"}
+
+
+def _read_type(field: StructField) -> DataType:
+    """The type a property is read as. Numbers are narrowed last."""
+    if isinstance(field.dataType, FloatType):
+        return DoubleType()
+    if isinstance(field.dataType, IntegerType) or field.name in EPOCH_COLUMNS:
+        return LongType()
+    return field.dataType
+
+
+def _sources(wanted: type) -> list[str]:
+    """Properties read as the given type."""
+    return [f.name for f in _PROPERTIES.fields if isinstance(f.dataType, wanted)]
+
+
+_PROPERTIES = StructType(
+    [
+        StructField(CANONICAL_SOURCES[f.name], _read_type(f))
+        for f in CANONICAL_SILVER.fields
+        if f.name in CANONICAL_SOURCES
+    ]
+)
+_EPOCHS = [CANONICAL_SOURCES[name] for name in EPOCH_COLUMNS]
+_INTS = [name for name in _sources(LongType) if name not in _EPOCHS]
+_TEXTS = [name for name in _sources(StringType) if name != "place"]
+
+_POSITION = ArrayType(DoubleType())
+_FEATURE = (
+    StructType()
+    .add("properties", _PROPERTIES)
+    .add("geometry", StructType().add("coordinates", _POSITION))
+)
+_TYPED = (
+    StructType()
+    .add("documents", ArrayType(StructType().add("features", ArrayType(_FEATURE))))
+    .add(_MISTYPED, StringType())
+)
+
+
+# --- documents -----------------------------------------------------------------
 
 
 def parse_documents(lines: DataFrame, whole_bytes: int = WHOLE_DOCUMENT_BYTES) -> DataFrame:
-    """Add `features`: the feature list, or null if the line has none or is no JSON.
+    """Add `features`, a list of variants; null if the line has none or is no JSON.
 
     The line is parsed as the only element of a JSON array. That way text after
     the document makes the line invalid, which a parser that stops at the end
     of the first value would let pass.
     """
-    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    whole = F.octet_length("value") <= whole_bytes
-
-    parsed = lines.withColumn("parsed", F.when(whole, F.try_parse_json(wrapped)))
-    from_whole = F.when(
-        V.leaf(F.col("parsed"), "$[1]").isNull(),
-        F.try_variant_get(F.col("parsed"), "$[0].features", "array<variant>"),
-    )
-    split = F.from_json(wrapped, "array<struct<features: array<string>>>")
-    from_split = F.when(
-        F.size(split) == 1,
-        F.transform(F.get(split, F.lit(0))["features"], _parse_feature),
+    whole = f"octet_length(value) <= {whole_bytes}"
+    from_whole = f"""CASE WHEN {V.leaf("parsed", "$[1]")} IS NULL
+        THEN {V.get("parsed", "$[0].features", "array<variant>")} END"""
+    split = "from_json(concat('[', value, ']'), 'array<struct<features: array<string>>>')"
+    from_split = f"""CASE WHEN size({split}) = 1 THEN transform(get({split}, 0).features,
+        feature -> coalesce(try_parse_json(feature), parse_json('null'))) END"""
+    parsed = lines.selectExpr(
+        "*", f"CASE WHEN {whole} THEN try_parse_json(concat('[', value, ']')) END AS parsed"
     )
-    return parsed.withColumn("features", F.when(whole, from_whole).otherwise(from_split)).drop(
-        "parsed"
-    )
-
-
-def _parse_feature(feature: Column) -> Column:
-    return F.coalesce(F.try_parse_json(feature), F.parse_json(F.lit("null")))
+    features = f"CASE WHEN {whole} THEN {from_whole} ELSE {from_split} END"
+    return parsed.selectExpr("*", f"{features} AS features").drop("parsed")
 
 
 def accepted_documents(lines: DataFrame) -> DataFrame:
     """Documents with a feature list; the other lines are dropped."""
-    return parse_documents(lines).filter(F.col("features").isNotNull())
+    return parse_documents(lines).filter("features IS NOT NULL")
 
 
 def rejected_documents(lines: DataFrame) -> DataFrame:
     """The lines `accepted_documents` drops, for a quarantine table."""
-    return parse_documents(lines).filter(F.col("features").isNull()).select("value")
+    return parse_documents(lines).filter("features IS NULL").select("value")
 
 
-def _absent_or_object(feature: Column, path: str, child: Column) -> Column:
-    """True unless the value at the path is something other than an object.
+# --- bad features ----------------------------------------------------------------
+
+
+def _not_an_object(feature: str, path: str, child: str) -> str:
+    """The value at the path is there but no object.
 
     A child that is there proves an object, so the type is only worked out for
     the rare value without one.
     """
-    whole = V.leaf(feature, path)
-    return child.isNotNull() | whole.isNull() | F.schema_of_variant(whole).startswith("OBJECT")
+    present = f"{V.leaf(feature, path)} IS NOT NULL"
+    return f"({child} IS NULL AND {present} AND {V.kind(feature, path)} NOT LIKE 'OBJECT%')"
 
 
-def is_bad_feature(feature: Column) -> Column:
-    """A feature that cannot be turned into a row.
+def is_bad_feature(feature: str) -> str:
+    """A feature (a variant) that cannot be turned into a row, as SQL text.
 
     Absent keys are fine and take defaults. Bad are: a feature, properties or
     geometry that is no object; a place that is no text; coordinates that are
     null or fewer than three; an epoch no calendar time can show; an integer
     field with an infinite number.
     """
-    place = V.leaf(feature, "$.properties.place")
-    coordinates = V.leaf(feature, "$.geometry.coordinates")
-    parts = F.coalesce(V.leaf(feature, "$.properties"), V.leaf(feature, "$.geometry"))
+    place, coordinates = "$.properties.place", "$.geometry.coordinates"
+    part = f"coalesce({V.leaf(feature, '$.properties')}, {V.leaf(feature, '$.geometry')})"
+    too_short = f"{V.leaf(feature, coordinates + '[2]')} IS NULL"
     checks = [
-        ~_absent_or_object(feature, "$", parts),
-        ~_absent_or_object(feature, "$.properties", place),
-        place.isNotNull() & (F.schema_of_variant(place) != "STRING"),
-        ~_absent_or_object(feature, "$.geometry", coordinates),
-        coordinates.isNotNull() & V.leaf(feature, "$.geometry.coordinates[2]").isNull(),
-        V.epoch_out_of_range(feature, "$.properties.time"),
-        V.epoch_out_of_range(feature, "$.properties.updated"),
-        *(V.is_infinite(feature, f"$.properties.{name}") for name in _INT_PROPERTIES),
+        _not_an_object(feature, "$", part),
+        _not_an_object(feature, "$.properties", V.leaf(feature, place)),
+        f"{V.kind(feature, place)} <> 'STRING'",
+        _not_an_object(feature, "$.geometry", V.leaf(feature, coordinates)),
+        f"{V.leaf(feature, coordinates)} IS NOT NULL AND {too_short}",
+        *(V.epoch_out_of_range(feature, f"$.properties.{name}") for name in _EPOCHS),
+        *(V.is_infinite(feature, f"$.properties.{name}") for name in _INTS),
     ]
-    bad = checks[0]
-    for check in checks[1:]:
-        bad = bad | check
-    return F.coalesce(bad, F.lit(False))
+    return V.any_of(checks)
 
 
 def keep_good_features(documents: DataFrame, on_error: str = "truncate") -> DataFrame:
-    """Apply the error rule to `features`.
+    """Apply the error rule to the variants in `features`.
 
     `truncate` ends a document at its first bad feature, so that one and all
     later ones are lost. `skip` drops the bad features alone.
     """
-    features = F.col("features")
+    bad = is_bad_feature("feature")
+    others = [name for name in documents.columns if name != "features"]
     if on_error == "skip":
-        kept = F.filter(features, lambda feature: ~is_bad_feature(feature))
-    elif on_error == "truncate":
-        first_bad = F.array_position(F.transform(features, is_bad_feature), F.lit(True))
-        located = documents.withColumn("first_bad", first_bad)
-        kept = F.when(
-            F.col("first_bad") > 0,
-            F.slice(features, F.lit(1), F.col("first_bad").cast("int") - 1),
-        ).otherwise(features)
-        return located.withColumn("features", kept).drop("first_bad")
-    else:
+        kept = f"filter(features, feature -> NOT ({bad}))"
+        return documents.selectExpr(*others, f"{kept} AS features")
+    if on_error != "truncate":
         raise ValueError(f"on_error must be 'truncate' or 'skip', not {on_error!r}")
-    return documents.withColumn("features", kept)
+    first_bad = f"array_position(transform(features, feature -> {bad}), true)"
+    located = documents.selectExpr("*", f"CAST({first_bad} AS int) AS first_bad")
+    kept = "CASE WHEN first_bad > 0 THEN slice(features, 1, first_bad - 1) ELSE features END"
+    return located.selectExpr(*others, f"{kept} AS features")
+
+
+# --- reading features --------------------------------------------------------------
+
+# Texts a place that is no text can show as.
+_NUMBER_OR_BOOLEAN = "^(?:[-+.0-9eE]+|Infinity|-Infinity|NaN|true|false)$"
+_CONTAINER_START = "'[', '{'"
+
+
+def _needs_second_look(features: str) -> str:
+    """Whether a typed feature list cannot be trusted as it is, as SQL text.
+
+    Its nulls may stand for null or absent, and its texts for text or another
+    value. Wherever the rules tell these apart, the list needs a second look.
+    Most checks run over one property of all features at once.
+    """
+    place = "feature.properties.place"
+    lacks_parts = f"""{place} IS NULL
+        OR {place} RLIKE '{_NUMBER_OR_BOOLEAN}' OR left({place}, 1) IN ({_CONTAINER_START})
+        OR coalesce(size(feature.geometry.coordinates), 0) < {len(COORDINATES)}"""
+    checks = [f"exists({features}, feature -> {lacks_parts})"]
+    for name in _EPOCHS:
+        epochs = f"{features}.properties.{name}"
+        checks += [
+            f"array_contains({epochs}, 0L)",
+            f"NOT {V.in_calendar(f'array_min({epochs})')}",
+            f"NOT {V.in_calendar(f'array_max({epochs})')}",
+        ]
+    checks += [
+        f"arrays_overlap({features}.properties.{name}, array({V.FALSY_LIST}))" for name in _TEXTS
+    ]
+    return V.any_of(checks)
+
+
+def _exact_property(name: str) -> str:
+    """A typed property of a variant, by the rules of its kind.
+
+    An epoch that is falsy becomes null, one that is no integer zero; a falsy
+    text becomes empty.
+    """
+    value, path = f"seen.properties.{name}", f"$.properties.{name}"
+    if name in _EPOCHS:
+        return V.exact_epoch(value, "seen.feature", path)
+    if name in _TEXTS:
+        return V.falsy_to_empty(value, "seen.feature", path)
+    return value
+
+
+def _exact_features(features: str) -> str:
+    """Typed features out of variants."""
+    properties = V.get("feature", "$.properties", _PROPERTIES.simpleString())
+    seen = f"transform({features}, feature -> struct(feature, {properties} AS properties))"
+    exact = ", ".join(f"{_exact_property(name)} AS {name}" for name in _PROPERTIES.fieldNames())
+    position = V.get("seen.feature", "$.geometry.coordinates", _POSITION.simpleString())
+    return f"""transform({seen}, seen -> struct(
+        struct({exact}) AS properties, struct({position} AS coordinates) AS geometry))"""
+
+
+def screen_documents(lines: DataFrame) -> DataFrame:
+    """Read lines by type: `typed` features, and whether a line is `odd`.
+
+    `value` is kept for odd lines only.
+    """
+    wrapped = F.concat(F.lit('{"documents":['), F.col("value"), F.lit("]}"))
+    parsed = lines.select("value", F.from_json(wrapped, _TYPED, _JSON_OPTIONS).alias("parsed"))
+    listed = parsed.selectExpr(
+        "value",
+        "CASE WHEN size(parsed.documents) = 1 THEN parsed.documents[0].features END AS typed",
+        f"parsed.{_MISTYPED} IS NOT NULL AS {_MISTYPED}",
+    )
+    odd = f"{_MISTYPED} OR {_needs_second_look('typed')}"
+    screened = listed.selectExpr("value", "typed", f"{odd} AS odd")
+    return screened.selectExpr("CASE WHEN odd THEN value END AS value", "typed", "odd")
 
 
 def canonical_features(lines: DataFrame, on_error: str = "truncate") -> DataFrame:
-    """Bronze lines to one variant column `feature`, one row per good feature."""
-    documents = keep_good_features(accepted_documents(lines), on_error)
-    return documents.select(F.explode("features").alias("feature"))
-
-
-def canonical_columns(feature: Column) -> dict[str, Column]:
-    """The canonical row of one feature, column by column."""
-    columns: dict[str, Column] = {}
-    for field in CANONICAL_SILVER.fields:
-        name = field.name
-        if name == "area":
-            columns[name] = area_split(V.safe_text(feature, "$.properties.place"))
-        elif name in COORDINATES:
-            position = COORDINATES.index(name)
-            columns[name] = V.safe_float(feature, f"$.geometry.coordinates[{position}]")
-        else:
-            path = f"$.properties.{CANONICAL_SOURCES[name]}"
-            if name in EPOCH_COLUMNS:
-                columns[name] = V.epoch_iso(feature, path)
-            elif name == "place":
-                columns[name] = V.safe_text(feature, path)
-            elif isinstance(field.dataType, FloatType):
-                columns[name] = V.safe_float(feature, path)
-            elif isinstance(field.dataType, IntegerType):
-                columns[name] = V.safe_int(feature, path)
-            else:
-                columns[name] = V.text_or_empty(feature, path)
-    return columns
+    """Bronze lines to one column `feature`, one typed row per good feature.
+
+    Lines without features leave a null row that is dropped after the explode.
+    A plain explode would let the optimizer drop them up front, at the price of
+    parsing every line again for that filter.
+    """
+    documents = keep_good_features(parse_documents(screen_documents(lines)), on_error)
+    exact = _exact_features("features")
+    features = documents.selectExpr(f"CASE WHEN odd THEN {exact} ELSE typed END AS features")
+    rows = features.select(F.explode_outer("features").alias("feature"))
+    return rows.filter("feature IS NOT NULL")
+
+
+# --- rows ------------------------------------------------------------------------
+
+
+def canonical_column(field: StructField) -> Column:
+    """One named column of the canonical row, over the column `feature`."""
+    name = field.name
+    if name == "area":
+        return area_split(F.expr("coalesce(feature.properties.place, '')")).alias(name)
+    if name in EPOCH_COLUMNS:
+        return epoch_ms_to_iso(f"feature.properties.{CANONICAL_SOURCES[name]}").alias(name)
+    if name in COORDINATES:
+        value = f"get(feature.geometry.coordinates, {COORDINATES.index(name)})"
+    else:
+        value = f"feature.properties.{CANONICAL_SOURCES[name]}"
+    default = "''" if isinstance(field.dataType, StringType) else "0"
+    return F.expr(f"{V.safe_cast(value, field.dataType, default)} AS {name}")
 
 
 def silver_schema(include_place: bool = True) -> StructType:
@@ -181,11 +295,9 @@ def canonical_project(
     lines: DataFrame, on_error: str = "truncate", include_place: bool = True
 ) -> DataFrame:
     """Bronze lines to canonical silver rows."""
-    columns = canonical_columns(F.col("feature"))
-    names = silver_schema(include_place).fieldNames()
-    return canonical_features(lines, on_error).select(
-        *(columns[name].alias(name) for name in names)
-    )
+    fields = silver_schema(include_place).fields
+    rows = canonical_features(lines, on_error)
+    return rows.select([canonical_column(field) for field in fields])
 
 
 def gold_project(

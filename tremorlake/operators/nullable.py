@@ -19,7 +19,7 @@ def explode_features(documents: DataFrame) -> DataFrame:
 def property_columns(feature: str = "feature") -> list[Column]:
     """Every declared property as a typed top-level column."""
     return [
-        F.col(f"{feature}.properties.{f.name}").try_cast(f.dataType).alias(f.name)
+        F.expr(f"try_cast({feature}.properties.{f.name} AS {f.dataType.simpleString()}) AS {f.name}")
         for f in PROPERTIES.fields
     ]
 

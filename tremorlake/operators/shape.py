@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
@@ -25,11 +25,11 @@ def conform_schema(df: DataFrame, schema: StructType, extra: str = "drop") -> Da
     if extra == "error" and unknown:
         raise ValueError(f"columns not in the target schema: {', '.join(unknown)}")
 
-    def target(name: str, to: DataType) -> Column:
+    def target(name: str, to: DataType) -> str:
         if name not in present:
-            return F.lit(None).cast(to).alias(name)
+            return f"CAST(NULL AS {to.simpleString()}) AS `{name}`"
         if present[name] == to:
-            return F.col(name)
-        return F.col(name).try_cast(to).alias(name)
+            return f"`{name}`"
+        return f"try_cast(`{name}` AS {to.simpleString()}) AS `{name}`"
 
-    return df.select([target(f.name, f.dataType) for f in schema.fields])
+    return df.selectExpr(*(target(f.name, f.dataType) for f in schema.fields))

@@ -103,11 +103,11 @@ def flat_features(events: DataFrame) -> DataFrame:
     Only the columns a query uses are read and computed.
     """
     fields = {**EXPRESSIONS, **SPARK_TIMES}
-    return events.select(
-        *(F.expr(fields[f.name]).cast(f.dataType).alias(f.name) for f in PROPERTIES.fields),
-        F.lit("Point").alias("geometry_type"),
-        *(F.expr(POSITION[name]).cast("float").alias(name) for name in COORDINATES),
-    )
+    properties = [
+        f"CAST({fields[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in PROPERTIES.fields
+    ]
+    position = [f"CAST({POSITION[name]} AS float) AS {name}" for name in COORDINATES]
+    return events.selectExpr(*properties, "'Point' AS geometry_type", *position)
 
 
 def _properties(rough: bool) -> list[Column]:

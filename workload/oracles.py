@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DataType, FloatType, IntegerType
+from pyspark.sql.types import DataType, FloatType, IntegerType, StructType
 
 from tremorlake.schemas import (
     AUDITED,
@@ -187,6 +187,35 @@ _STAGE_COUNTS = """
 _EVENT_MS = """CASE event_id % 29 WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN 0
   WHEN 7 THEN NULL WHEN 8 THEN -1500 ELSE event_ms END"""
 
+# Columns of the rough feed that differ from the clean one.
+ROUGH_CODE = "CASE WHEN bare THEN '' ELSE CAST(event_id AS VARCHAR) END AS event_code"
+ROUGH_TIME = f"CASE WHEN bare THEN NULL ELSE {iso(f'({_EVENT_MS})')} END AS event_time"
+ROUGH_UPDATE = f"CASE WHEN bare THEN NULL ELSE {iso('(event_ms + 3600000)')} END AS last_update"
+ROUGH_STATIONS = """CAST(CASE WHEN bare THEN 0 ELSE
+  CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 7 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE user_id END
+  END AS INTEGER) AS station_count"""
+ROUGH_MAGNITUDE = """CAST(CASE WHEN bare THEN 0.0 WHEN event_id % 3 = 0 THEN event_id % 90 + 0.5
+  ELSE event_id % 90 + 0.25 END AS FLOAT) AS magnitude"""
+ROUGH_ALERT = "CASE WHEN NOT bare AND event_id % 4 = 0 THEN 'green' ELSE '' END AS alert_status"
+
+
+def rough_columns() -> str:
+    """The whole canonical row of the rough feed."""
+    own = [ROUGH_CODE, ROUGH_TIME, ROUGH_UPDATE, ROUGH_STATIONS, ROUGH_MAGNITUDE, ROUGH_ALERT]
+    known = {column.rsplit(" AS ", 1)[1]: column for column in own}
+    columns = []
+    for field in CANONICAL_SILVER.fields:
+        if field.name in known:
+            columns.append(known[field.name])
+            continue
+        default = "0" if type(field.dataType) in SQL_TYPES else "''"
+        clean = canonical_columns(schema=StructType([field])).rsplit(" AS ", 1)[0]
+        columns.append(
+            f"CASE WHEN bare THEN {typed(default, field.dataType)} ELSE {clean} END AS {field.name}"
+        )
+    return ", ".join(columns)
+
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "bronze_land": f"""
@@ -236,26 +265,16 @@ UNION ALL SELECT event_code, CAST(NULL AS VARCHAR), area FROM ({GOLD_ROWS})""",
 SELECT 'silver' AS tag, count(*) AS records FROM events UNION ALL SELECT 'bq', 0""",
     # scalar functions
     "safe_cast": f"""{ROUGH}
-SELECT CAST(event_id AS VARCHAR) AS id,
-       CAST(CASE WHEN bare THEN 0 ELSE
-         CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 7 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE user_id END
-       END AS INTEGER) AS station_count,
-       CAST(CASE WHEN bare THEN 0.0 WHEN event_id % 3 = 0 THEN event_id % 90 + 0.5
-            ELSE event_id % 90 + 0.25 END AS FLOAT) AS magnitude,
+SELECT {ROUGH_CODE}, {ROUGH_STATIONS}, {ROUGH_MAGNITUDE},
        CASE WHEN bare THEN '' ELSE {feed.PLACE} END AS place
 FROM kept""",
     "falsy_to_empty": f"""{ROUGH}
-SELECT CAST(event_id AS VARCHAR) AS id,
-       CASE WHEN NOT bare AND event_id % 4 = 0 THEN 'green' ELSE '' END AS alert_status,
+SELECT {ROUGH_CODE}, {ROUGH_ALERT},
        CASE WHEN bare THEN '' ELSE coalesce({feed.EXPRESSIONS["detail"]}, '') END AS description
 FROM kept""",
     "epoch_ms_to_timestamp": f"""
 SELECT CAST(event_id AS VARCHAR) AS code, {shown_seconds("ts")} AS time FROM events""",
-    "epoch_ms_to_iso": f"""{ROUGH}
-SELECT CAST(event_id AS VARCHAR) AS id,
-       CASE WHEN bare THEN NULL ELSE {iso(f"({_EVENT_MS})")} END AS event_time,
-       CASE WHEN bare THEN NULL ELSE {iso("(event_ms + 3600000)")} END AS last_update
-FROM kept""",
+    "epoch_ms_to_iso": f"{ROUGH} SELECT {ROUGH_CODE}, {ROUGH_TIME}, {ROUGH_UPDATE} FROM kept",
     "area_regex": f"SELECT CAST(event_id AS VARCHAR) AS code, {AREA_REGEX} AS area FROM events",
     "area_split": f"SELECT CAST(event_id AS VARCHAR) AS code, {AREA_SPLIT} AS area FROM events",
     "to_date": f"{FEATURE} SELECT code, {UPDATED_DAY} FROM feature",
@@ -276,7 +295,7 @@ SELECT concat('{{"code":"', event_id, '","area":"', {AREA_REGEX}, '","sig":', ev
          AS document
 FROM events""",
     "field_default": f"""{ROUGH}
-SELECT CAST(event_id AS VARCHAR) AS id,
+SELECT {ROUGH_CODE},
        CASE WHEN bare THEN '' ELSE {AREA_SPLIT} END AS area,
        CASE WHEN bare THEN CAST(0 AS FLOAT) ELSE {position("longitude")} END AS longitude,
        CASE WHEN bare THEN CAST(0 AS FLOAT) ELSE {position("depth")} END AS depth
@@ -289,8 +308,8 @@ FROM (
   SELECT *, block % {feed.BLOCK_CYCLE} NOT IN ({feed.BROKEN_BLOCK}, {feed.UNNAMED_BLOCK}) AS readable
   FROM ({DOCUMENTS})
 ) GROUP BY 1""",
-    "truncate_at_bad_feature": f"{ROUGH} SELECT CAST(event_id AS VARCHAR) AS id FROM kept",
-    "skip_bad_feature": f"{ROUGH} SELECT CAST(event_id AS VARCHAR) AS id FROM readable WHERE NOT bad",
+    "truncate_at_bad_feature": f"{ROUGH} SELECT {rough_columns()} FROM kept",
+    "skip_bad_feature": f"{ROUGH} SELECT {ROUGH_CODE}, {ROUGH_TIME} FROM readable WHERE NOT bad",
     # predicates, aggregates, windows, top-k
     "magnitude_above": f"{FEATURE} SELECT area, mag FROM feature WHERE mag > 5",
     "last_week_filter": f"""{FEATURE}

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, StructType, TimestampType
 
 from tremorlake.functions import scalars as S
-from tremorlake.functions import variants as V
 from tremorlake.operators import analytics as A
 from tremorlake.operators import audit as U
 from tremorlake.operators import canonical as C
@@ -79,8 +78,8 @@ def canonical_rows(s: Store, **options) -> DataFrame:
     return C.canonical_project(s.lines(), **options)
 
 
-def rough_features(s: Store, on_error: str = "truncate") -> DataFrame:
-    return C.canonical_features(s.lines(rough=True), on_error)
+def rough_rows(s: Store, **options) -> DataFrame:
+    return C.canonical_project(s.lines(rough=True), **options)
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -316,23 +315,12 @@ def _(s: Store) -> DataFrame:
 
 @query("safe_cast")
 def _(s: Store) -> DataFrame:
-    feature = F.col("feature")
-    return rough_features(s).select(
-        V.text(feature, "$.id").alias("id"),
-        V.safe_int(feature, "$.properties.nst").alias("station_count"),
-        V.safe_float(feature, "$.properties.mag").alias("magnitude"),
-        V.safe_text(feature, "$.properties.place").alias("place"),
-    )
+    return rough_rows(s).select("event_code", "station_count", "magnitude", "place")
 
 
 @query("falsy_to_empty")
 def _(s: Store) -> DataFrame:
-    feature = F.col("feature")
-    return rough_features(s).select(
-        V.text(feature, "$.id").alias("id"),
-        V.text_or_empty(feature, "$.properties.alert").alias("alert_status"),
-        S.falsy_to_empty(V.text(feature, "$.properties.detail")).alias("description"),
-    )
+    return rough_rows(s).select("event_code", "alert_status", "description")
 
 
 @query("epoch_ms_to_timestamp")
@@ -342,12 +330,7 @@ def _(s: Store) -> DataFrame:
 
 @query("epoch_ms_to_iso")
 def _(s: Store) -> DataFrame:
-    feature = F.col("feature")
-    return rough_features(s).select(
-        V.text(feature, "$.id").alias("id"),
-        V.epoch_iso(feature, "$.properties.time").alias("event_time"),
-        V.epoch_iso(feature, "$.properties.updated").alias("last_update"),
-    )
+    return rough_rows(s).select("event_code", "event_time", "last_update")
 
 
 @query("area_regex")
@@ -405,13 +388,7 @@ def _(s: Store) -> DataFrame:
 
 @query("field_default")
 def _(s: Store) -> DataFrame:
-    feature = F.col("feature")
-    return rough_features(s).select(
-        V.text(feature, "$.id").alias("id"),
-        S.area_split(V.safe_text(feature, "$.properties.place")).alias("area"),
-        V.safe_float(feature, "$.geometry.coordinates[0]").alias("longitude"),
-        V.safe_float(feature, "$.geometry.coordinates[2]").alias("depth"),
-    )
+    return rough_rows(s).select("event_code", "area", "longitude", "depth")
 
 
 # --- errors --------------------------------------------------------------------------
@@ -429,12 +406,12 @@ def _(s: Store) -> DataFrame:
 
 @query("truncate_at_bad_feature")
 def _(s: Store) -> DataFrame:
-    return rough_features(s).select(V.text(F.col("feature"), "$.id").alias("id"))
+    return rough_rows(s)
 
 
 @query("skip_bad_feature")
 def _(s: Store) -> DataFrame:
-    return rough_features(s, on_error="skip").select(V.text(F.col("feature"), "$.id").alias("id"))
+    return rough_rows(s, on_error="skip").select("event_code", "event_time")
 
 
 # --- predicates, aggregates, windows, top-k ------------------------------------------
