@@ -103,7 +103,8 @@ def parse_documents(lines: DataFrame, whole_bytes: int = WHOLE_DOCUMENT_BYTES) -
     whole = f"octet_length(value) <= {whole_bytes}"
     from_whole = f"""CASE WHEN {V.leaf("parsed", "$[1]")} IS NULL
         THEN {V.get("parsed", "$[0].features", "array<variant>")} END"""
-    split = "from_json(concat('[', value, ']'), 'array<struct<features: array<string>>>')"
+    split = """from_json(concat('[', value, ']'), 'array<struct<features: array<string>>>',
+        map('allowSingleQuotes', 'false'))"""
     from_split = f"""CASE WHEN size({split}) = 1 THEN transform(get({split}, 0).features,
         feature -> coalesce(try_parse_json(feature), parse_json('null'))) END"""
     parsed = lines.selectExpr(
