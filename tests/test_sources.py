@@ -114,3 +114,18 @@ def test_truncate_and_load(spark, namespace):
 def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_dir(spark, "x").startswith(f"{shared}/tremorlake/x-")
+
+
+class FakeSession:
+    """A session without a shared folder, on a given master."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+
+def test_scratch_without_shared_folder():
+    first, second = (session.scratch_dir(FakeSession("local[2]"), "x") for _ in range(2))
+    assert first != second and Path(first).parents[1] == Path(second).parents[1]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(FakeSession("yarn"), "x")

@@ -10,6 +10,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 from tremorlake.operators import canonical, nullable
 from tremorlake.operators.audit import (
@@ -38,7 +39,8 @@ class LoadResult:
     table: str
 
 
-def _load_gold(silver: DataFrame, table: str, schema, disposition: str) -> None:
+def _load_gold(silver: DataFrame, table: str, schema: StructType, disposition: str) -> None:
+    T.ensure_namespace_of(silver.sparkSession, table)
     if disposition == TRUNCATE:
         T.truncate_and_load(silver, table, schema)
     elif disposition == APPEND:
@@ -114,7 +116,7 @@ def canonical_load(
 
     silver = L.read_silver(spark, paths.silver, schema)
     gold = canonical.gold_project(silver, as_of, include_place)
-    T.append_by_name(gold, table, canonical.gold_schema())
+    _load_gold(gold, table, canonical.gold_schema(), APPEND)
     return LoadResult(landed, paths.bronze, paths.silver, table)
 
 
@@ -139,6 +141,7 @@ def audited_load(
     """
     spark = spark or (documents.sparkSession if isinstance(documents, DataFrame) else SparkSession.active())
     paths = L.Layers(root, "audited", feed, run_date)
+    T.ensure_namespace_of(spark, audit_table)
     ensure_audit_table(spark, audit_table)
     trail = AuditTrail(spark, audit_table, job_id, **trail_options)
 
@@ -217,6 +220,6 @@ def _audited_gold(trail: AuditTrail, spark: SparkSession, paths: L.Layers, table
     with trail.stage("load") as stage:
         silver = L.read_silver(spark, paths.silver, AUDITED)
         rows = observe_count(conform_schema(silver, NULLABLE), loaded)
-        T.truncate_and_load(rows, table, NULLABLE)
+        _load_gold(rows, table, NULLABLE, TRUNCATE)
         stage.records = loaded
     trail.flush()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,8 @@ def build_session(app_name: str = "tremorlake", master: str | None = None, **opt
     settings = {
         **RESULT_SETTINGS,
         "spark.sql.adaptive.enabled": "true",
+        # Call sites of column expressions in error texts cost more than planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         **options,
     }
@@ -50,6 +53,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tremorlake-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/tremorlake/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tremorlake-")

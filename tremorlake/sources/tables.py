@@ -14,6 +14,13 @@ def ensure_namespace(spark: SparkSession, namespace: str, location: str | None =
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}{where}")
 
 
+def ensure_namespace_of(spark: SparkSession, table: str) -> None:
+    """Create the database a qualified table name asks for."""
+    namespace, _, _name = table.rpartition(".")
+    if namespace:
+        ensure_namespace(spark, namespace)
+
+
 def ensure_table(spark: SparkSession, table: str, schema: StructType) -> None:
     """Create an empty Parquet table with the schema unless the table exists."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, StructType, TimestampType
+from pyspark.sql.types import ArrayType, DateType, StructField, StructType, TimestampType
 
 from tremorlake.functions import scalars as S
 from tremorlake.operators import analytics as A
@@ -40,15 +40,14 @@ RUN_INSTANT = dt.datetime(2024, 1, 30, 12, tzinfo=dt.timezone.utc)
 
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, and no clock columns."""
-    shown = df.drop(*CLOCKS)
     formats = {DateType: "yyyy-MM-dd", TimestampType: "yyyy-MM-dd HH:mm:ss.SSS"}
-    return shown.withColumns(
-        {
-            f.name: F.date_format(f.name, formats[type(f.dataType)])
-            for f in shown.schema.fields
-            if type(f.dataType) in formats
-        }
-    )
+
+    def shown(field: StructField) -> str:
+        if type(field.dataType) not in formats:
+            return f"`{field.name}`"
+        return f"date_format(`{field.name}`, '{formats[type(field.dataType)]}') AS `{field.name}`"
+
+    return df.selectExpr(*(shown(field) for field in df.schema.fields if field.name not in CLOCKS))
 
 
 def query(key: str) -> Callable[[Callable[[Store], DataFrame]], Callable[[Store], DataFrame]]:
