@@ -1,6 +1,9 @@
 import json
+from unittest import mock
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tests.conftest import document, feature
 from tremorlake.operators import canonical as C
@@ -183,6 +186,34 @@ def test_typed_read_agrees_with_the_second_look(lines, monkeypatch, on_error):
     assert sorted(map(str, C.canonical_project(frame, on_error).collect())) == quick
 
 
+LEAVES = st.one_of(
+    st.none(),
+    st.booleans(),
+    st.integers(-(10**17), 10**17),
+    st.integers(-3, 3),
+    st.floats(-1e6, 1e6),
+    st.sampled_from(["", "0", "7", "3.7", "false", "x of y of z", "[", "1e3", "NaN", " 8 ", "2.50"]),
+    st.just([]),
+    st.just({}),
+)
+FEATURES = st.builds(
+    lambda properties, position: feature(properties, {"coordinates": position}),
+    st.dictionaries(st.sampled_from(["mag", "time", "nst", "alert", "place", "felt", "type", "code"]), LEAVES),
+    st.lists(st.one_of(st.none(), st.floats(-180, 180), st.integers(-9, 9)), min_size=2, max_size=4),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(FEATURES, max_size=4), min_size=20, max_size=40), st.sampled_from(["truncate", "skip"]))
+def test_any_document_reads_the_same_both_ways(spark, feature_lists, on_error):
+    texts = [(document(*features),) for features in feature_lists]
+    frame = spark.createDataFrame(texts, "value string")
+    quick = sorted(map(str, C.canonical_project(frame, on_error).collect()))
+    with mock.patch.object(C, "_needs_second_look", lambda features: "true"):
+        exact = sorted(map(str, C.canonical_project(frame, on_error).collect()))
+    assert quick == exact
+
+
 def test_clean_documents_need_no_second_look(lines):
     clean = feature({"time": 1, "updated": 2, "alert": None, "felt": None, "code": "0x", "mag": 2})
     assert not C.screen_documents(lines(document(clean))).filter("odd").count()

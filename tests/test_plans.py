@@ -63,6 +63,7 @@ def test_strong_events_push_their_filter_and_read_two_columns(gold):
 def test_last_week_is_pushed_and_pruned(gold):
     text = plan(A.top_area_last_week(gold, AS_OF))
     assert "ReadSchema: struct<mag:float,updated:timestamp,area:string>" in text
+    assert "GreaterThanOrEqual(updated,2024-01-23 00:00:00.0)" in text
 
 
 @pytest.mark.parametrize("question", [A.top_area_last_week, A.top_frequency_intensity])

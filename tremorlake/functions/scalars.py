@@ -38,7 +38,7 @@ def epoch_ms_to_iso(ms: Column | str) -> Column:
     value = _column(ms).try_cast("bigint")
     shown = F.timestamp_millis(value).cast("string")
     digits = F.when(F.length(shown) > _SECONDS_LENGTH, _MICROS_LENGTH).otherwise(_SECONDS_LENGTH)
-    text = F.rpad(F.translate(shown, " ", "T"), digits, F.lit("0"))
+    text = F.rpad(F.replace(shown, F.lit(" "), F.lit("T")), digits, F.lit("0"))
     return F.when(value.between(FIRST_EPOCH_MS, LAST_EPOCH_MS), text)
 
 

@@ -60,7 +60,8 @@ def one_line(document: Column | str) -> Column:
     A valid JSON text holds line breaks only between tokens, so blanks in their
     place leave its value as it was.
     """
-    return F.translate(document, "\r\n", "  ")
+    blank = F.lit(" ")
+    return F.replace(F.replace(document, F.lit("\r"), blank), F.lit("\n"), blank)
 
 
 def land_bronze(documents: DataFrame, path: str, observation: Observation | None = None) -> bool:
