@@ -105,7 +105,7 @@ def parse_documents(lines: DataFrame, whole_bytes: int = WHOLE_DOCUMENT_BYTES) -
         THEN {V.get("parsed", "$[0].features", "array<variant>")} END"""
     split = """from_json(concat('[', value, ']'), 'array<struct<features: array<string>>>',
         map('allowSingleQuotes', 'false'))"""
-    from_split = f"""CASE WHEN size({split}) = 1 THEN transform(get({split}, 0).features,
+    from_split = f"""CASE WHEN array_size({split}) = 1 THEN transform(get({split}, 0).features,
         feature -> coalesce(try_parse_json(feature), parse_json('null'))) END"""
     parsed = lines.selectExpr(
         "*", f"CASE WHEN {whole} THEN try_parse_json(concat('[', value, ']')) END AS parsed"
@@ -196,7 +196,7 @@ def _needs_second_look(features: str) -> str:
     place = "feature.properties.place"
     lacks_parts = f"""{place} IS NULL
         OR {place} RLIKE '{_NUMBER_OR_BOOLEAN}' OR left({place}, 1) IN ({_CONTAINER_START})
-        OR coalesce(size(feature.geometry.coordinates), 0) < {len(COORDINATES)}"""
+        OR coalesce(array_size(feature.geometry.coordinates), 0) < {len(COORDINATES)}"""
     checks = [f"exists({features}, feature -> {lacks_parts})"]
     for name in _EPOCHS:
         epochs = f"{features}.properties.{name}"
@@ -244,7 +244,7 @@ def screen_documents(lines: DataFrame) -> DataFrame:
     parsed = lines.select("value", F.from_json(wrapped, _TYPED, _JSON_OPTIONS).alias("parsed"))
     listed = parsed.selectExpr(
         "value",
-        "CASE WHEN size(parsed.documents) = 1 THEN parsed.documents[0].features END AS typed",
+        "CASE WHEN array_size(parsed.documents) = 1 THEN parsed.documents[0].features END AS typed",
         f"parsed.{_MISTYPED} IS NOT NULL AS {_MISTYPED}",
     )
     odd = f"{_MISTYPED} OR {_needs_second_look('typed')}"

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tremorlake.schemas import COORDINATES, PROPERTIES
 
@@ -93,8 +94,9 @@ UNNAMED_BLOCK = 5
 BLOCK_CYCLE = 7
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def events(spark: SparkSession, sf_dir: str, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{sf_dir}/events.parquet")
 
 
 def flat_features(events: DataFrame) -> DataFrame:
@@ -166,7 +168,7 @@ def documents(events: DataFrame, rough: bool = False) -> DataFrame:
         F.lit('{"type":"FeatureCollection",\n"metadata":{"generated":'),
         F.unix_millis(F.col("feed_day").cast("timestamp")),
         F.lit(',"url":"https://feed.example/day","title":"Events of a day","status":200,"api":"1","count":'),
-        F.size("features"),
+        F.array_size("features"),
         F.lit('},\n"'),
     )
     listed = F.concat(

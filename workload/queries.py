@@ -115,7 +115,7 @@ def _(s: Store) -> DataFrame:
         "metadata.title",
         "metadata.status",
         F.col("metadata.count").alias("declared"),
-        F.size("features").alias("features"),
+        F.array_size("features").alias("features"),
     )
 
 
@@ -399,7 +399,7 @@ def _(s: Store) -> DataFrame:
     accepted = F.col("features").isNotNull()
     return parsed.groupBy(accepted.alias("accepted")).agg(
         F.count(F.lit(1)).alias("documents"),
-        F.sum(F.coalesce(F.size("features"), F.lit(0))).alias("features"),
+        F.sum(F.coalesce(F.array_size("features"), F.lit(0))).alias("features"),
     )
 
 

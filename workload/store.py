@@ -8,9 +8,11 @@ paths are below the shared scratch folder, so they outlive lost executors.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tremorlake import session
 from tremorlake.operators import nullable as N
@@ -33,7 +35,11 @@ class Store:
 
     @property
     def events(self) -> DataFrame:
-        return feed.events(self.spark, self.sf_dir)
+        """The events table; its file footers are read for the schema only once."""
+        if "events" not in self._done:
+            self._done["events"] = feed.events(self.spark, self.sf_dir).schema.json()
+        schema = StructType.fromJson(json.loads(self._done["events"]))
+        return feed.events(self.spark, self.sf_dir, schema)
 
     def fresh(self, label: str) -> str:
         return session.scratch_dir(self.spark, label)
@@ -89,7 +95,7 @@ class Store:
         return self._done["gold"]
 
 
-# Paths and names already written, by application and table folder.
+# What is already written or known, by application and table folder.
 _written: dict[tuple[str, str], dict[str, str]] = {}
 
 
