@@ -87,7 +87,10 @@ def test_report_scans_the_table_once_for_the_summary(gold, tables):
     assert over_gold == ["areas_above_5"]
 
 
-@pytest.mark.parametrize("name", ["canonical_project", "gold_project", "extract_properties", "conform_schema", "count_by_day_area"])
+@pytest.mark.parametrize(
+    "name",
+    ["canonical_project", "gold_project", "extract_properties", "conform_schema", "count_by_day_area"],
+)
 def test_no_python_in_the_plan(spark, sf_dir, name):
     text = plan(driver.queries()[name](spark, sf_dir))
     assert not re.search(r"Python|Pandas|ArrowEval", text)

@@ -49,8 +49,8 @@ def area_regex(place: Column | str) -> Column:
 
 def area_split(place: Column | str) -> Column:
     """Second piece of the place split on ` of `; empty when there is none."""
-    pieces = F.split(_column(place), AREA_SEPARATOR, 3)
-    return F.coalesce(F.get(pieces, F.lit(1)), F.lit(""))
+    second = F.split_part(_column(place), F.lit(AREA_SEPARATOR), F.lit(2))
+    return F.coalesce(second, F.lit(""))
 
 
 def load_clock(as_of: dt.datetime | None = None) -> Column:
