@@ -19,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
 # A side of a join is broadcast up to this many cells (rows times columns, and
-# array elements), some tens of MB; a larger one is joined by shuffling.
-BROADCAST_CELLS = 1_000_000
+# array elements), about 30 MB as a hash table; a larger one is joined by shuffling.
+BROADCAST_CELLS = 250_000
 
 # Texts are handled in groups of about this many bytes inside a task.
 GROUP_BYTES = 8 << 20
