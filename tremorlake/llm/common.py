@@ -23,7 +23,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BROADCAST_CELLS = 250_000
 
 # Texts are handled in groups of about this many bytes inside a task.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
