@@ -14,17 +14,18 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tremorlake.llm.common import Numbers, encoded, groups_of
+from tremorlake.llm.common import Numbers, text_groups
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 _NONE = np.int32(1 << 30)
-_CELLS = 1 << 20
+_CELLS = 1 << 18
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,15 +154,17 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def encode(path: str, pattern: regex.Pattern, texts: list[bytes]) -> Iterator[np.ndarray]:
-    """Token ids of each text; distinct pieces of a group of texts are encoded once."""
+    """Token ids of each text of a group; its distinct pieces are encoded once.
+
+    The pattern must have no groups, as every match is a piece.
+    """
     vocab = vocabulary(path)
-    for group in groups_of(texts):
-        seen = Numbers()
-        numbers = [seen.of(pattern.findall(text.decode())) for text in group]
-        flat, counts = encode_pieces(vocab, [piece.encode() for piece in seen])
-        starts = np.cumsum(counts) - counts
-        for piece_numbers in numbers:
-            yield flat[spread(starts[piece_numbers], counts[piece_numbers])]
+    seen = Numbers()
+    numbers = [seen.of(pattern.findall(text.decode())) for text in texts]
+    flat, counts = encode_pieces(vocab, [piece.encode() for piece in seen])
+    starts = np.cumsum(counts) - counts
+    for piece_numbers in numbers:
+        yield flat[spread(starts[piece_numbers], counts[piece_numbers])]
 
 
 def decode(path: str, ids: np.ndarray) -> bytes:
@@ -184,23 +187,24 @@ def encode_and_decode(
     path = path or public_tokenizers.path(RANKS)
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
-    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
-        for batch in batches:
-            rows = []
-            for ids in encode(path, compiled, encoded(batch["text"])):
-                row = (
-                    len(ids),
-                    hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                    hashlib.sha256(decode(path, ids)).hexdigest(),
-                )
-                rows.append((*row, ids) if with_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
-            result = pd.DataFrame(rows, columns=names, index=batch.index)
-            result.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            yield result
-
-    return docs.select("doc_id", "text").mapInPandas(of_batches, fields)
+        for rows, texts in text_groups(batches):
+            counts, own, decoded, lists = [], [], [], []
+            for ids in encode(path, compiled, texts):
+                counts.append(len(ids))
+                own.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                decoded.append(hashlib.sha256(decode(path, ids)).hexdigest())
+                if with_ids:
+                    lists.append(ids)
+            columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(own, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists), pa.int32())))
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of_batches, fields)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

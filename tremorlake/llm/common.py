@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +91,21 @@ def groups_of(texts: Iterable[bytes], limit: int = GROUP_BYTES) -> Iterator[list
         yield group
 
 
+def text_groups(batches: Iterable[pa.RecordBatch], limit: int = GROUP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Arrow batches with a column `text`, in slices of about `limit` bytes of text, and
+    the UTF-8 of the texts of a slice; null is empty."""
+    for batch in batches:
+        first, size, texts = 0, 0, []
+        for value in batch.column("text"):
+            texts.append(value.as_buffer().to_pybytes() if value.is_valid else b"")
+            size += len(texts[-1]) + 64
+            if size >= limit:
+                yield batch.slice(first, len(texts)), texts
+                first, size, texts = first + len(texts), 0, []
+        if texts:
+            yield batch.slice(first), texts
+
+
 def encoded(texts: Iterable[str | None]) -> list[bytes]:
     """UTF-8 of each text; null is empty."""
     return [b"" if text is None else text.encode() for text in texts]

@@ -17,12 +17,12 @@ from collections.abc import Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import checked, encoded, groups_of, same, saved, word_numbers
+from tremorlake.llm.common import checked, same, saved, text_groups, word_numbers
 
 TOKENIZER = "piece_bpe_32k.model"
 MIN_WORDS = 50
@@ -133,16 +133,16 @@ def _measures(tokens: np.ndarray, is_byte: np.ndarray, chars: int) -> tuple[floa
 
 
 def measure(texts: list[bytes], path: str) -> Iterator[tuple]:
-    """All numbers of each text, in the order of the fields after lang."""
+    """All numbers of each text of a group, in the order of the fields after lang."""
     processor, is_byte = _processor(path)
-    for group in groups_of(texts):
-        words, numbers = word_numbers(group)
+    if texts:
+        words, numbers = word_numbers(texts)
         chars = np.fromiter((len(word.decode()) for word in words), np.int64, len(words))
         pieces = processor.encode([word.decode() for word in words], num_threads=1) if words else []
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         flat = np.fromiter((piece for word in pieces for piece in word), np.int64, lengths.sum())
         starts = np.cumsum(lengths) - lengths
-        for text, own in zip(group, numbers):
+        for text, own in zip(texts, numbers):
             sizes = lengths[own]
             places = np.arange(sizes.sum()) + np.repeat(starts[own] - (np.cumsum(sizes) - sizes), sizes)
             tokens, word_chars = flat[places], int(chars[own].sum())
@@ -157,17 +157,15 @@ def measure(texts: list[bytes], path: str) -> Iterator[tuple]:
 def measured(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The numbers of every document, as in `_FIELDS`. A null text is an empty one."""
     path = path or public_tokenizers.path(TOKENIZER)
-    names = [field.split()[0] for field in _FIELDS.split(", ")][2:]
+    names = [field.split()[0] for field in _FIELDS.split(", ")]
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
 
-    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            result = pd.DataFrame(list(measure(encoded(batch["text"]), path)), columns=names, index=batch.index)
-            result.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            result.insert(1, "lang", batch["lang"])
-            yield result
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_groups(batches):
+            columns = map(pa.array, zip(*measure(texts, path)))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("lang"), *columns], names)
 
-    return docs.select("doc_id", lang.alias("lang"), "text").mapInPandas(of_batches, _FIELDS)
+    return docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), "text").mapInArrow(of_batches, _FIELDS)
 
 
 def _failed_base():

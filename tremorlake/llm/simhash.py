@@ -27,11 +27,12 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import checked, encoded, free_names, same, saved, text_key
+from tremorlake.llm.common import checked, free_names, saved, text_groups, text_key
 from tremorlake.llm.components import components
 
 SHINGLE = 3
@@ -65,14 +66,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """id, text_hash and fp (as a signed long) of every document."""
 
-    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            values = np.array([fingerprint(text, shingle) for text in encoded(texts)], np.uint64)
-            yield pd.Series(values.view(np.int64))
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_groups(batches):
+            values = np.array([fingerprint(text, shingle) for text in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("id"), rows.column("text_hash"), pa.array(values.view(np.int64))], ["id", "text_hash", "fp"]
+            )
 
-    of_batches.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    simhash = F.pandas_udf(of_batches, "long")
-    return docs.select(F.col("doc_id").alias("id"), text_key().alias("text_hash"), simhash("text").alias("fp"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("text_hash"), "text")
+    return rows.mapInArrow(of_batches, "id long, text_hash long, fp long")
 
 
 @lru_cache(maxsize=1)

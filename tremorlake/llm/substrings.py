@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import checked, encoded, groups_of, same, saved, word_numbers
+from tremorlake.llm.common import checked, same, saved, text_groups, word_numbers
 
 WINDOW = 20
 SHINGLE = 5
@@ -97,31 +98,23 @@ def _word_hashes(group: list[bytes]) -> list[np.ndarray]:
     return [hashes[own] for own in numbers]
 
 
-def _texts(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
-    """A batch in groups of about equal bytes."""
-    first = 0
-    for group in groups_of(encoded(batch["text"])):
-        yield batch.iloc[first : first + len(group)], group
-        first += len(group)
-
-
 def _find_anchors(window: int):
-    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for rows, group in _texts(batch):
-                parts = []
-                for id_, hash_, words in zip(rows["id"].tolist(), rows["text_hash"].tolist(), _word_hashes(group)):
-                    if len(words) >= window:
-                        anchor, start, end = anchors(words, window)
-                        n = len(start)
-                        parts.append((anchor, span_hashes(words, start, end), np.full(n, id_), np.full(n, hash_), start, end - start))
-                if parts:
-                    yield _preaggregated(*(np.concatenate(column) for column in zip(*parts)))
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, group in text_groups(batches):
+            parts = []
+            ids, hashes = rows.column("id").to_pylist(), rows.column("text_hash").to_pylist()
+            for id_, hash_, words in zip(ids, hashes, _word_hashes(group)):
+                if len(words) >= window:
+                    anchor, start, end = anchors(words, window)
+                    n = len(start)
+                    parts.append((anchor, span_hashes(words, start, end), np.full(n, id_), np.full(n, hash_), start, end - start))
+            if parts:
+                yield _preaggregated(*(np.concatenate(column) for column in zip(*parts)))
 
     return of_batches
 
 
-def _preaggregated(anchor, segment, id_, hash_, start, n) -> pd.DataFrame:
+def _preaggregated(anchor, segment, id_, hash_, start, n) -> pa.RecordBatch:
     """Rows of a group of texts. Those equal to an earlier one of the group are known to
     be repeated (`local`); they get keys of their own, so that they don't meet later."""
     order = np.lexsort((start, hash_, id_, segment, anchor))
@@ -130,14 +123,14 @@ def _preaggregated(anchor, segment, id_, hash_, start, n) -> pd.DataFrame:
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     local = (id_ != id_[first]) | (hash_ != hash_[first]) | (start != start[first])
     own = _mixed(id_.astype(np.uint64) * _ODD + start.astype(np.uint64))
-    return pd.DataFrame(
+    return pa.RecordBatch.from_pydict(
         {
             "anchor": np.where(local, own, anchor).view(np.int64),
             "segment": segment.view(np.int64),
             "id": id_,
-            "text_hash": hash_,
-            "start": start,
-            "n": n,
+            "text_hash": hash_.astype(np.int32),
+            "start": start.astype(np.int32),
+            "n": n.astype(np.int32),
             "local": local,
         }
     )
@@ -146,24 +139,36 @@ def _preaggregated(anchor, segment, id_, hash_, start, n) -> pd.DataFrame:
 def _cut_segments(hot: int, window: int):
     """Words of the listed segments; with `hot`, their windows by hash."""
 
-    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for rows, group in _texts(batch):
-                parts = []
-                for id_, hash_, listed, words in zip(rows["id"], rows["text_hash"], rows["listed"], _word_hashes(group)):
-                    for segment in listed:
-                        at, end = segment["start"], segment["start"] + segment["n"]
-                        if hot:
-                            starts = np.arange(at, end - window + 1)
-                            one, two = (span_hashes(words[at:end], starts - at, starts - at + window, b) for b in (_BASE, _INVERSE))
-                            parts.append((one.view(np.int64), two.view(np.int64), np.full(len(starts), id_), np.full(len(starts), hash_), starts))
-                        else:
-                            parts.append((segment["anchor"], id_, hash_, at, words[at:end].view(np.int64)))
-                if parts and hot:
-                    names = ["hash1", "hash2", "id", "text_hash", "start"]
-                    yield pd.DataFrame({name: np.concatenate(column) for name, column in zip(names, zip(*parts))})
-                elif parts:
-                    yield pd.DataFrame(parts, columns=["anchor", "id", "text_hash", "start", "words"])
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, group in text_groups(batches):
+            parts = []
+            columns = (rows.column(name).to_pylist() for name in ("id", "text_hash", "listed"))
+            for id_, hash_, listed, words in zip(*columns, _word_hashes(group)):
+                for segment in listed:
+                    at, end = segment["start"], segment["start"] + segment["n"]
+                    if hot:
+                        starts = np.arange(at, end - window + 1)
+                        one, two = (span_hashes(words[at:end], starts - at, starts - at + window, b) for b in (_BASE, _INVERSE))
+                        parts.append((one, two, np.full(len(starts), id_), np.full(len(starts), hash_), starts))
+                    else:
+                        parts.append((segment["anchor"], id_, hash_, at, words[at:end].view(np.int64)))
+            if parts and hot:
+                one, two, id_, hash_, start = (np.concatenate(column) for column in zip(*parts))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "hash1": one.view(np.int64),
+                        "hash2": two.view(np.int64),
+                        "id": id_,
+                        "text_hash": hash_.astype(np.int32),
+                        "start": start.astype(np.int32),
+                    }
+                )
+            elif parts:
+                anchor, id_, hash_, start, words = zip(*parts)
+                ends = np.concatenate([[0], np.cumsum([len(own) for own in words])]).astype(np.int32)
+                arrays = [pa.array(anchor, pa.int64()), pa.array(id_, pa.int64()), pa.array(hash_, pa.int32()), pa.array(start, pa.int32())]
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words))))
+                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "id", "text_hash", "start", "words"])
 
     return of_batches
 
@@ -260,7 +265,7 @@ def _merged(spans: DataFrame) -> DataFrame:
 
 def _sources(docs: DataFrame) -> DataFrame:
     """id (null last), text_hash, and text of every row."""
-    return docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.hash("text").alias("text_hash"), "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("text").alias("text_hash"), "text")
 
 
 def _copies(sources: DataFrame) -> DataFrame:
@@ -299,7 +304,7 @@ def repeated_spans(
 ) -> DataFrame:
     """id, text_hash and spans (start, end, in words) of repeated windows in first copies."""
     originals = _marked(sources, copies).where("NOT copy")
-    found = originals.select("id", "text_hash", "text").mapInPandas(_find_anchors(window), _ANCHORS)
+    found = originals.select("id", "text_hash", "text").mapInArrow(_find_anchors(window), _ANCHORS)
     by_segment = Window.partitionBy("anchor", "segment").orderBy("id", "text_hash", "start")
     place = F.struct("id", "text_hash", "start")
     ranked = saved(
@@ -324,7 +329,7 @@ def repeated_spans(
 
     usual = _listed(originals, compared.where(F.col("segments") <= most), "substring-usual")
     shards = (
-        usual.mapInPandas(_cut_segments(0, window), _SEGMENTS)
+        usual.mapInArrow(_cut_segments(0, window), _SEGMENTS)
         .repartition("anchor")
         .sortWithinPartitions("anchor", "id", "text_hash", "start")
     )
@@ -333,7 +338,7 @@ def repeated_spans(
     crowded = compared.where(F.col("segments") > most)
     if crowded.limit(1).count():
         windows = saved(
-            _listed(originals, crowded, "substring-crowded").mapInPandas(_cut_segments(1, window), _WINDOWS),
+            _listed(originals, crowded, "substring-crowded").mapInArrow(_cut_segments(1, window), _WINDOWS),
             "substring-windows",
         )
         groups = windows.groupBy("hash1", "hash2").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
@@ -364,10 +369,11 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Fa
     )
     fields = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
 
-    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for id_, text, copy, own in zip(batch["id"], encoded(batch["text"]), batch["copy"], batch["spans"]):
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_groups(batches):
+            results = []
+            columns = (rows.column(name).to_pylist() for name in ("id", "copy", "spans"))
+            for id_, copy, own, text in zip(*columns, texts):
                 words = text.split()
                 n = len(words)
                 if copy:
@@ -380,11 +386,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Fa
                     words = keep + words[at:]
                 kept = b" ".join(words)
                 row = (None if id_ == _NO_ID else id_, n, n - len(words), hashlib.sha256(kept).hexdigest())
-                rows.append((*row, kept.decode()) if with_text else row)
+                results.append((*row, kept.decode()) if with_text else row)
+            kinds = [pa.int64()] * 3 + [pa.string()] * (1 + with_text)
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*results), kinds)], names)
 
-    return joined.mapInPandas(of_batches, fields)
+    return joined.mapInArrow(of_batches, fields)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,12 +12,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import GROUP_BYTES, encoded, groups_of, word_numbers
+from tremorlake.llm.common import GROUP_BYTES, groups_of, text_groups, word_numbers
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -51,15 +51,13 @@ class WordCounter:
         if not drops or not sample or any(set(text.encode()) & set(b" \t\n\x0b\x0c\r") for text in added):
             raise ValueError("this tokenizer keeps white space; its words can't be counted apart")
 
-    def counts(self, texts: list[bytes]) -> Iterator[int]:
-        for group in groups_of(texts):
-            words, numbers = word_numbers(group)
-            each = np.empty(len(words), np.int64)
-            for first, part in _parts(words):
-                found = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-                each[first : first + len(part)] = [len(encoding) for encoding in found]
-            for own in numbers:
-                yield int(each[own].sum())
+    def counts(self, texts: list[bytes]) -> list[int]:
+        words, numbers = word_numbers(texts)
+        each = np.empty(len(words), np.int64)
+        for first, part in _parts(words):
+            found = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
+            each[first : first + len(part)] = [len(encoding) for encoding in found]
+        return [int(each[own].sum()) for own in numbers]
 
 
 class PieceCounter:
@@ -70,9 +68,8 @@ class PieceCounter:
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def counts(self, texts: list[bytes]) -> Iterator[int]:
-        for group in groups_of(texts):
-            yield from map(len, self.processor.encode([text.decode() for text in group], num_threads=1))
+    def counts(self, texts: list[bytes]) -> list[int]:
+        return [len(self.processor.encode(text.decode())) for text in texts]
 
 
 def _parts(words: list[bytes], limit: int = GROUP_BYTES // 8) -> Iterator[tuple[int, list[bytes]]]:
@@ -98,17 +95,22 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     """
     path = path or public_tokenizers.path(TOKENIZER)
 
-    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(list(counter(path).counts(encoded(texts))), dtype="int64")
-
-    of_batches.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    counted = F.pandas_udf(of_batches, "long")
-    return docs.select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        counted("text").alias("n_tokens"),
-    ).withColumn("over_limit", F.col("n_tokens") > limit)
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_groups(batches):
+            counts = counter(path).counts(texts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc_id"),
+                    pa.array(map(len, texts), pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.array([count > limit for count in counts], pa.bool_()),
+                ],
+                ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        of_batches, "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
+    )
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
