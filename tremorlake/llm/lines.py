@@ -106,9 +106,11 @@ def dedup_lines(docs: DataFrame, **options) -> tuple[DataFrame, str]:
     gets the same text. Columns of other names are kept, clashing or not; an empty
     table gives no rows.
     """
-    removals = checked(saved(boilerplate_lines(docs, **options), "line-removals"))
+    removals = saved(boilerplate_lines(docs, **options), "line-removals")
     id_, hash_, removed = free_names(docs, "id_of_removal", "hash_of_removal", "removed")
     removals = removals.withColumnsRenamed({"id": id_, "text_hash": hash_, "removed": removed})
+    # As many rows as documents that lose lines: it grows with them, and is never broadcast.
+    removals = removals.hint("shuffle_hash")
     condition = docs["doc_id"].eqNullSafe(removals[id_]) & (text_key() == removals[hash_])
     joined = docs.join(removals, condition, "left").drop(id_, hash_)
     return joined.withColumn("text", _kept_text("text", removed)), removed

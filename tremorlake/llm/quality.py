@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from tremorlake.llm.common import encoded, free_names, saved
 
-BINS = 2048
+BINS = 1024
 DIMENSIONS = 64
-SAMPLE = 4000
+SAMPLE = 3000
 NEIGHBOURS = 31
 THRESHOLD = 0.3
 FOLDS = 5
@@ -30,7 +30,7 @@ SHARPNESS = 8.0
 _BLOCK = 512
 _CHUNK = 1 << 20
 # Any odd multiplier spreads byte pairs over the bins.
-_BIN_OF = ((np.arange(1 << 16, dtype=np.uint32) * np.uint32(2654435761)) >> np.uint32(21)).astype(np.int64) % BINS
+_BIN_OF = ((np.arange(1 << 16, dtype=np.uint32) * np.uint32(2654435761)) >> np.uint32(22)).astype(np.int64) % BINS
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) ->
     """A model of sample histograms (one row each) and their labels."""
     rows = _dampened(counts).astype(np.float64)
     weight = np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 1
-    rows = rows * weight
+    rows *= weight
     values, axes = np.linalg.eigh(rows.T @ rows)
     axes = axes[:, np.argsort(-values, kind="stable")[:dimensions]]
     prior = float(labels.mean()) if len(labels) else 0.5
@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = found.mapInPandas(of_batches, "labelled long, quality int, counts binary")
     one = rows.groupBy("labelled").agg(F.min(F.struct("counts", "quality")).alias("row"))  # of rows that share a doc_id
     collected = sorted(one.select("labelled", "row.*").collect(), key=lambda row: row.labelled)
-    counts = np.array([np.frombuffer(row.counts, "<i4") for row in collected], np.int64).reshape(-1, BINS + 1)
+    counts = np.array([np.frombuffer(row.counts, "<i4") for row in collected], np.int32).reshape(-1, BINS + 1)
     return fit(counts, np.array([row.quality for row in collected], np.float64))
 
 

@@ -173,7 +173,8 @@ def _hub_links(candidates: DataFrame) -> DataFrame:
     bits = F.array(F.lit(0).cast("long"), *(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)))
     names = candidates.select("fp", F.explode(bits).alias("bit")).select("fp", F.col("fp").bitwiseXOR(F.col("bit")).alias("hub"))
     smallest = names.groupBy("hub").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("hub", "a")
-    return names.join(smallest, "hub").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    # Spark takes the exploded names for as small as the candidates; they must not be broadcast.
+    return names.join(smallest.hint("merge"), "hub").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
 def near_groups(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -243,7 +244,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     chosen = chosen.groupBy("component_id").agg(F.min("text_hash").alias("text_hash"), F.count("*").alias("n"))
     chosen = saved(chosen.select(F.col("component_id").alias("id"), "text_hash", "n"), "simhash-chosen")
     id_, hash_, n = free_names(docs, "id_of_kept", "hash_of_kept", "n_of_kept")
-    small = checked(chosen.withColumnsRenamed({"id": id_, "text_hash": hash_, "n": n}))
+    small = chosen.withColumnsRenamed({"id": id_, "text_hash": hash_, "n": n}).hint("shuffle_hash")
     kept = docs.join(small, docs["doc_id"].eqNullSafe(small[id_]) & (text_key() == small[hash_]))
     if chosen.where("n > 1").limit(1).count():
         kept = kept.dropDuplicates([id_])
