@@ -19,7 +19,7 @@ from functools import lru_cache, reduce
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremorlake.llm.common import checked, same, saved, text_groups, word_numbers
@@ -172,9 +172,10 @@ def _failed_base():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATS * F.col("n_words"))
 
 
-def bands(numbers: DataFrame) -> DataFrame:
+def bands(numbers: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """Middle and median distance from it of each measure, by language, over all
-    documents that pass the base rules; one more row, of null, is over all of them."""
+    documents that pass the base rules. A language with fewer than min_documents of
+    them has the numbers of all languages together."""
     kind = F.coalesce("lang", F.concat(F.lit("script "), "script"))
     passing = numbers.where(~_failed_base()).select(kind.alias("kind"), "n_words", *MEASURES)
     both = passing.union(passing.withColumn("kind", F.lit(None).cast("string")))
@@ -187,11 +188,17 @@ def bands(numbers: DataFrame) -> DataFrame:
         "fertility-middles",
     )
     few = checked(middles)
-    return (
+    found = (
         both.join(few, same(both, few, [("kind", "of_kind")]))
         .groupBy(*middles.columns)
         .agg(*(F.percentile_approx(F.abs(F.col(m) - F.col(f"mid_{m}")), 0.5, 10_000).alias(f"dev_{m}") for m in MEASURES))
     )
+    facts = [name for name in found.columns if name.startswith(("mid_", "dev_"))]
+    everything = Window.partitionBy()  # a row per language
+    of_all = {name: F.max(F.when(F.col("of_kind").isNull(), F.col(name))).over(everything) for name in facts}
+    return found.select(
+        "of_kind", *(F.when(F.col("n") < min_documents, of_all[name]).otherwise(F.col(name)).alias(name) for name in facts)
+    ).where("of_kind IS NOT NULL")
 
 
 def judge(docs: DataFrame, path: str | None = None, width: float = WIDTH, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -203,16 +210,13 @@ def judge(docs: DataFrame, path: str | None = None, width: float = WIDTH, min_do
     equal results; an empty table gives no rows. Other columns are not looked at.
     """
     numbers = saved(measured(docs, path), "fertility")
-    found = saved(bands(numbers), "fertility-bands")
-    facts = [name for name in found.columns if name.startswith(("mid_", "dev_"))]
-    own = checked(found.where((F.col("n") >= min_documents) & F.col("of_kind").isNotNull()))
-    every = F.broadcast(found.where("of_kind IS NULL").select(*(F.col(name).alias(f"all_{name}") for name in facts)))  # one row
+    # A document that passes the base rules is in a band; the others need none.
+    own = checked(saved(bands(numbers, min_documents), "fertility-bands"))
     kind = F.coalesce("lang", F.concat(F.lit("script "), "script"))
-    joined = numbers.join(own, kind == own["of_kind"], "left").join(every, F.lit(True), "left")
-    fact = {name: F.coalesce(name, f"all_{name}") for name in facts}
-    wider = F.greatest(F.lit(1.0), F.sqrt(fact["mid_words"] / F.greatest(F.col("n_words"), F.lit(1))))
+    joined = numbers.join(own, kind == own["of_kind"], "left")
+    wider = F.greatest(F.lit(1.0), F.sqrt(F.col("mid_words") / F.greatest(F.col("n_words"), F.lit(1))))
     inside = [
-        F.abs(F.col(m) - fact[f"mid_{m}"]) <= F.greatest(fact[f"dev_{m}"] * width, F.lit(LEAST_WIDTH[m])) * wider
+        F.abs(F.col(m) - F.col(f"mid_{m}")) <= F.greatest(F.col(f"dev_{m}") * width, F.lit(LEAST_WIDTH[m])) * wider
         for m in MEASURES
     ]
     failed = _failed_base()

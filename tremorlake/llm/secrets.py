@@ -68,7 +68,8 @@ def _pieces(kind: str, pattern: str, guard: str, least: int, group: int = 0) ->
 
 
 def _matches(texts: DataFrame) -> DataFrame:
-    """id, text_hash, kind, start, end, ok and value of every match in distinct texts.
+    """id, text_hash, kind, start, end and hot of every match in distinct texts; hot are
+    the spans of high entropy in a candidate, found where the text is read.
 
     Matches that are too short take their text with them for assignments. For the
     others a longer match can't begin inside a short one, so the least length can
@@ -85,14 +86,18 @@ def _matches(texts: DataFrame) -> DataFrame:
         ),
         _pieces("entropy", CANDIDATE, CANDIDATE, WINDOW),
     ]
-    pieces = texts.select("id", "text_hash", F.posexplode(F.concat(*shapes)).alias("at", "m"))
+    pieces = texts.select("id", "text_hash", F.posexplode(F.concat(*shapes)).alias("at", "m")).select(
+        "id", "text_hash", "at", "m.*"
+    )
+    hot = F.when(F.col("ok") & (F.col("kind") == KINDS.index("entropy")), entropy_spans("value"))
+    pieces = pieces.withColumn("hot", hot).drop("value")
     # The same text twice is one text; sums and spans below need no further exchange.
-    one = pieces.repartition("id", "text_hash").dropDuplicates(["id", "text_hash", "at"]).select("id", "text_hash", "at", "m.*")
+    one = pieces.repartition("id", "text_hash").dropDuplicates(["id", "text_hash", "at"])
     through = Window.partitionBy("id", "text_hash", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return (
         one.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(through))
         .where("ok")
-        .select("id", "text_hash", "kind", (F.col("end") - F.col("len")).alias("start"), "end", "value")
+        .select("id", "text_hash", "kind", (F.col("end") - F.col("len")).alias("start"), "end", "hot")
     )
 
 
@@ -161,10 +166,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("id"), text_key().alias("text_hash"), "text")
     matches = _matches(texts)
     known = matches.where(F.col("kind") < 3).select("id", "text_hash", "start", "kind", "end")
-    # Candidate strings are short and few; their spans are found row by row.
     high = (
         matches.where(F.col("kind") == 3)
-        .withColumn("span", F.explode(entropy_spans("value")))
+        .withColumn("span", F.explode("hot"))
         .select(
             "id",
             "text_hash",
