@@ -33,7 +33,7 @@ SYMBOLS = b"#*$%&|<>"
 # Half the width of a band in median deviations, and the least half width. The
 # measures of a short text scatter more: with a quarter of the median's words it
 # has a band of twice the width.
-WIDTH = 12.0
+WIDTH = 10.0
 LEAST_WIDTH = {"chars_per_token": 0.1, "byte_share": 0.03, "evenness": 0.1}
 MEASURES = tuple(LEAST_WIDTH)
 # A band needs this many documents; a rarer language uses the band of all documents.
