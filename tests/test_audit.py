@@ -108,3 +108,35 @@ def test_failing_twice_is_only_logged(spark, place):
         pass
     trail.flush()
     assert trail.pending == []
+
+
+def test_failed_silver_leaves_gold(spark, place, lines, monkeypatch):
+    """The save fails inside a task, after the former silver is gone."""
+    from pyspark.sql import functions as F
+
+    name, _ = place
+    run(spark, place, lines(document(feature())))
+    whole = jobs.nullable.transform_columns
+    monkeypatch.setattr(
+        jobs.nullable,
+        "transform_columns",
+        lambda df, as_of=None: whole(df, as_of).withColumn("code", F.raise_error(F.lit("lost disk")).cast("string")),
+    )
+    T.scan_table(spark, f"{name}.audit")
+    spark.sql(f"DROP TABLE {name}.audit")
+    _, rows = run(spark, place, lines(document(feature())))
+    assert (rows["save"].status, rows["load"].status) == ("Failed", "Failed")
+    assert rows["load"].error_msg == jobs.NO_SILVER
+    assert T.scan_table(spark, f"{name}.gold").count() == 1
+
+
+def test_many_records_and_one_bad_row(spark, place):
+    name, _ = place
+    U.ensure_audit_table(spark, f"{name}.big")
+    now = U.utc_now()
+    good = U.audit_row(1, "p", "many", now, now, "Success", None, 3_000_000_000)
+    bad = U.audit_row(1, "p", "bad", now, now, "Success", None, 1 << 70)
+    U.AuditTrail(spark, f"{name}.big", 1)._append_with_retry([good, bad])
+    stored = [(row.function_name, row.process_record) for row in T.scan_table(spark, f"{name}.big").collect()]
+    assert stored == [("many", 3_000_000_000)]
+    assert U.audit_frame(spark, [good]).rdd.getNumPartitions() == 1

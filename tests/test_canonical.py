@@ -219,11 +219,43 @@ def test_clean_documents_need_no_second_look(lines):
     assert not C.screen_documents(lines(document(clean))).filter("odd").count()
 
 
-def test_long_documents_are_split(lines):
-    frame = lines(GOOD, *odd_lines(), *REJECTED_LINES.values())
-    whole = C.parse_documents(frame).selectExpr("value", "cast(features as string) AS f")
-    split = C.parse_documents(frame, whole_bytes=0).selectExpr("value", "cast(features as string) AS f")
-    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+ODD_FEATURES = {
+    "text of an object": '"{}"',
+    "text with a place": json.dumps(json.dumps(feature())),
+    "infinite integer": '{"properties": {"place": "of X", "nst": 1e400}, "geometry": {"coordinates": [1, 2, 3]}}',
+    "number as code": '{"properties": {"place": "of X", "code": 1e5}, "geometry": {"coordinates": [1, 2, 3]}}',
+    "long number as code": '{"properties": {"place": "of X", "code": 0.1234567890123456789}, "geometry": {"coordinates": [1, 2, 3]}}',
+}
+
+
+@pytest.mark.parametrize("name", list(ODD_FEATURES))
+def test_long_documents_follow_the_same_rules(lines, name):
+    short = '{"features": [%s, %s], "pad": "%s"}'
+    both = [short % (ODD_FEATURES[name], json.dumps(feature({"nst": "7"})), "x" * size) for size in (1, 33 * 2**20)]
+    few, many = (sorted(map(str, C.canonical_project(lines(text), "skip").collect())) for text in both)
+    assert few == many and len(few) >= 1
+
+
+@pytest.mark.parametrize("nst", ["7", '"7"'])
+def test_nan_is_no_json(lines, nst):
+    text = '{"features": [%s, {"properties": {"nst": %s, "mag": NaN}}]}' % (json.dumps(feature()), nst)
+    assert C.canonical_project(lines(text)).count() == 0
+    assert [row.kind for row in C.lost_input(lines(text)).collect()] == ["document"]
+
+
+def test_lost_input(lines):
+    bad = feature({"place": None})
+    frame = lines(document(feature(), bad, feature()), "no json", '{"entries": []}', document(feature()))
+    lost = sorted((row.kind, row.value[:9]) for row in C.lost_input(frame).collect())
+    assert [kind for kind, _ in lost] == ["document", "document", "feature", "feature"]
+    assert [row.kind for row in C.lost_input(frame, "skip").collect()].count("feature") == 1
+
+
+def test_spread_is_one_exchange_when_asked_for(lines):
+    def plan(**options):
+        return C.canonical_project(lines(GOOD), **options)._jdf.queryExecution().executedPlan().toString()
+
+    assert "Exchange" not in plan() and plan(spread=3).count("Exchange") == 1
 
 
 def test_gold_types_and_times(lines):

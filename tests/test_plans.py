@@ -77,7 +77,7 @@ def test_document_reads_do_not_shuffle_and_parse_once(tables, on_error):
         assert exchanges(rows) == 0
     text = plan(C.canonical_project(tables.lines(), on_error))
     assert text.count("from_json(StructField(documents") == 1
-    assert text.count("parseJson(concat") == 1
+    assert text.count("from_json(ArrayType(StructType(StructField(features") == 1
 
 
 def test_report_scans_the_table_once_for_the_summary(gold, tables):

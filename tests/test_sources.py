@@ -9,7 +9,7 @@ from tremorlake import session
 from tremorlake.operators import canonical as C
 from tremorlake.operators import nullable as N
 from tremorlake.operators.shape import cast_columns, conform_schema
-from tremorlake.schemas import CANONICAL_GOLD, CANONICAL_SILVER, columns
+from tremorlake.schemas import CANONICAL_GOLD, CANONICAL_SILVER, NULLABLE, columns
 from tremorlake.sources import layers as L
 from tremorlake.sources import tables as T
 
@@ -129,3 +129,56 @@ def test_scratch_without_shared_folder():
     assert first != second and Path(first).parents[1] == Path(second).parents[1]
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_dir(FakeSession("yarn"), "x")
+
+
+def test_failed_load_leaves_the_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType, StructType
+
+    schema = StructType().add("n", LongType())
+    namespace = f"failed_{tmp_path.name.replace('-', '_')}"
+    T.ensure_namespace(spark, namespace, str(tmp_path / "ns"))
+    table = f"{namespace}.t"
+    for n in (10, 7):
+        T.truncate_and_load(spark.range(n).toDF("n"), table, schema)
+        assert T.scan_table(spark, table).count() == n
+    broken = spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("n"))
+    with pytest.raises(Exception, match="no"):
+        T.truncate_and_load(broken, table, schema)
+    assert T.scan_table(spark, table).count() == 7
+    T.append_by_name(spark.range(1).toDF("n"), table, schema)
+    assert T.scan_table(spark, table).count() == 8
+    T.truncate_and_load(spark.range(2).toDF("m"), table, StructType().add("m", LongType()))
+    assert T.scan_table(spark, table).columns == ["m"] and T.scan_table(spark, table).count() == 2
+
+
+def test_silver_without_files_is_refused(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        L.read_silver(spark, str(tmp_path / "empty"), NULLABLE)
+
+
+def test_clocks_are_utc_in_any_zone(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tremorlake.functions import scalars as S
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.range(1).select(
+            S.epoch_ms_to_iso(F.lit(1731283200123)).alias("a"),
+            S.epoch_ms_to_iso(F.lit(-1500)).alias("b"),
+            S.epoch_ms_to_iso(F.lit(0)).alias("c"),
+            S.record_clock_iso(dt.datetime(2024, 3, 10, 7, 30)).alias("d"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == (
+        "2024-11-11T00:00:00.123000",
+        "1969-12-31T23:59:58.500000",
+        "1970-01-01T00:00:00",
+        "2024-03-10T07:30:00.000000",
+    )

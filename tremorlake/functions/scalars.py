@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 # pattern and formats results must follow.
 AREA_PATTERN = r"of (.+)$"
 AREA_SEPARATOR = " of "
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _SECONDS_LENGTH = len("2024-01-30T12:00:00")
 _MICROS_LENGTH = len("2024-01-30T12:00:00.000000")
 # Years 1 to 9999, the range a calendar time can take.
@@ -24,6 +23,13 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _utc_clock(units: Column, digits: int) -> Column:
+    """The UTC wall clock, without a zone, of an epoch in units of 10 ** -digits seconds."""
+    seconds = (units.cast("decimal(18,0)") / F.lit(10**digits).cast("decimal(7,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(zero, zero, zero, seconds)
+
+
 def epoch_ms_to_timestamp(ms: Column | str) -> Column:
     """Epoch milliseconds (number or text) to a timestamp in whole seconds.
 
@@ -34,12 +40,14 @@ def epoch_ms_to_timestamp(ms: Column | str) -> Column:
 
 
 def epoch_ms_to_iso(ms: Column | str) -> Column:
-    """Epoch milliseconds to UTC ISO text, with six digits of fraction or none."""
+    """Epoch milliseconds to UTC ISO text, with six digits of fraction or none.
+
+    The zone of the session does not matter.
+    """
     value = _column(ms).try_cast("bigint")
-    shown = F.timestamp_millis(value).cast("string")
+    shown = _utc_clock(F.when(value.between(FIRST_EPOCH_MS, LAST_EPOCH_MS), value), 3).cast("string")
     digits = F.when(F.length(shown) > _SECONDS_LENGTH, _MICROS_LENGTH).otherwise(_SECONDS_LENGTH)
-    text = F.rpad(F.replace(shown, F.lit(" "), F.lit("T")), digits, F.lit("0"))
-    return F.when(value.between(FIRST_EPOCH_MS, LAST_EPOCH_MS), text)
+    return F.rpad(F.replace(shown, F.lit(" "), F.lit("T")), digits, F.lit("0"))
 
 
 def area_regex(place: Column | str) -> Column:
@@ -68,9 +76,12 @@ def load_clock(as_of: dt.datetime | None = None) -> Column:
 def record_clock_iso(as_of: dt.datetime | None = None) -> Column:
     """The load timestamp as UTC ISO text.
 
-    It is constant within a query, so a retried task writes the same value.
+    It is constant within a query, so a retried task writes the same value, and
+    the zone of the session does not matter.
     """
-    return F.date_format(load_clock(as_of), ISO_MICROS)
+    shown = _utc_clock(F.unix_micros(load_clock(as_of)), 6).cast("string")
+    whole = F.when(F.length(shown) > _SECONDS_LENGTH, shown).otherwise(F.concat(shown, F.lit(".")))
+    return F.rpad(F.replace(whole, F.lit(" "), F.lit("T")), _MICROS_LENGTH, F.lit("0"))
 
 
 def days_before(as_of: dt.date | None, days: int) -> Column:

@@ -175,7 +175,8 @@ class AuditTrail:
     def _append_with_retry(self, rows: list[tuple]) -> None:
         """Append; on an error add it to the rows' messages and try once more.
 
-        Failing again is logged only: a load must not fail for its audit.
+        If that fails too, the rows are tried one by one. A row that still fails
+        is logged only: a load must not fail for its audit.
         """
         try:
             self.append(self.spark, self.table, rows)
@@ -188,5 +189,13 @@ class AuditTrail:
             ]
             try:
                 self.append(self.spark, self.table, noted)
-            except Exception as again:
-                log.error("audit rows not stored: %s", again)
+            except Exception:
+                self._append_each(noted)
+
+    def _append_each(self, rows: list[tuple]) -> None:
+        """Append row by row, so that one that can't be stored doesn't take the others along."""
+        for row in rows:
+            try:
+                self.append(self.spark, self.table, [row])
+            except Exception as error:
+                log.error("audit row %s not stored: %s", row, error)

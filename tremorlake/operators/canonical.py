@@ -43,13 +43,16 @@ from tremorlake.schemas import (
 SILVER_TAG = "silver"
 WAREHOUSE_TAG = "bq"
 
-# A variant holds at most 128 MiB, and an encoded value takes at most about
-# three times its text. Longer documents are split into features first and
-# parsed one feature at a time, so no document is too long.
-WHOLE_DOCUMENT_BYTES = 32 * 1024 * 1024
-
 _MISTYPED = "mistyped"
-_JSON_OPTIONS = {"columnNameOfCorruptRecord": _MISTYPED, "allowSingleQuotes": "false"}
+# NaN and Infinity are no JSON. The typed read refuses them as the exact one does,
+# so a document with one is rejected whatever its other leaves are.
+_JSON_OPTIONS = {
+    "columnNameOfCorruptRecord": _MISTYPED,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+_LISTED = "array<struct<features: array<variant>>>"
+_STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
 
 def _read_type(field: StructField) -> DataType:
@@ -93,25 +96,19 @@ _TYPED = (
 # --- documents -----------------------------------------------------------------
 
 
-def parse_documents(lines: DataFrame, whole_bytes: int = WHOLE_DOCUMENT_BYTES) -> DataFrame:
+def parse_documents(lines: DataFrame) -> DataFrame:
     """Add `features`, a list of variants; null if the line has none or is no JSON.
 
-    The line is parsed as the only element of a JSON array. That way text after
-    the document makes the line invalid, which a parser that stops at the end
-    of the first value would let pass.
+    Each feature is a variant of its own, so a document can be of any length and
+    the rule is the same for all. The line is parsed as the only element of a JSON
+    array. That way text after the document makes the line invalid, which a parser
+    that stops at the end of the first value would let pass.
     """
-    whole = f"octet_length(value) <= {whole_bytes}"
-    from_whole = f"""CASE WHEN {V.leaf("parsed", "$[1]")} IS NULL
-        THEN {V.get("parsed", "$[0].features", "array<variant>")} END"""
-    split = """from_json(concat('[', value, ']'), 'array<struct<features: array<string>>>',
-        map('allowSingleQuotes', 'false'))"""
-    from_split = f"""CASE WHEN array_size({split}) = 1 THEN transform(get({split}, 0).features,
-        feature -> coalesce(try_parse_json(feature), parse_json('null'))) END"""
-    parsed = lines.selectExpr(
-        "*", f"CASE WHEN {whole} THEN try_parse_json(concat('[', value, ']')) END AS parsed"
-    )
-    features = f"CASE WHEN {whole} THEN {from_whole} ELSE {from_split} END"
-    return parsed.selectExpr("*", f"{features} AS features").drop("parsed")
+    parsed = f"from_json(concat('[', value, ']'), '{_LISTED}', {_STRICT})"
+    listed = lines.selectExpr("*", f"{parsed} AS parsed")
+    features = """CASE WHEN array_size(parsed) = 1 THEN transform(get(parsed, 0).features,
+        feature -> coalesce(feature, parse_json('null'))) END"""
+    return listed.selectExpr("*", f"{features} AS features").drop("parsed")
 
 
 def accepted_documents(lines: DataFrame) -> DataFrame:
@@ -235,11 +232,8 @@ def _exact_features(features: str) -> str:
         struct({exact}) AS properties, struct({position} AS coordinates) AS geometry))"""
 
 
-def screen_documents(lines: DataFrame) -> DataFrame:
-    """Read lines by type: `typed` features, and whether a line is `odd`.
-
-    `value` is kept for odd lines only.
-    """
+def _screened(lines: DataFrame) -> DataFrame:
+    """Read lines by type: `typed` features, and whether a line is `odd`."""
     wrapped = F.concat(F.lit('{"documents":['), F.col("value"), F.lit("]}"))
     parsed = lines.select("value", F.from_json(wrapped, _TYPED, _JSON_OPTIONS).alias("parsed"))
     listed = parsed.selectExpr(
@@ -248,22 +242,51 @@ def screen_documents(lines: DataFrame) -> DataFrame:
         f"parsed.{_MISTYPED} IS NOT NULL AS {_MISTYPED}",
     )
     odd = f"{_MISTYPED} OR {_needs_second_look('typed')}"
-    screened = listed.selectExpr("value", "typed", f"{odd} AS odd")
-    return screened.selectExpr("CASE WHEN odd THEN value END AS value", "typed", "odd")
+    return listed.selectExpr("value", "typed", f"{odd} AS odd")
+
+
+def screen_documents(lines: DataFrame) -> DataFrame:
+    """Lines read by type; `value` is kept for odd lines only."""
+    return _screened(lines).selectExpr("CASE WHEN odd THEN value END AS value", "typed", "odd")
+
+
+def lost_input(lines: DataFrame, on_error: str = "truncate") -> DataFrame:
+    """What the error rule drops: `kind` (document or feature) and its text.
+
+    A document is lost as a whole if it is no JSON or has no feature list. Only odd
+    lines are parsed a second time, as for the rows.
+    """
+    looked = parse_documents(
+        _screened(lines).selectExpr("CASE WHEN odd THEN value END AS value", "value AS line", "typed", "odd")
+    )
+    bad = is_bad_feature("feature")
+    if on_error == "skip":
+        gone = f"filter(features, feature -> {bad})"
+    else:
+        first = f"CAST(array_position(transform(features, feature -> {bad}), true) AS int)"
+        looked = looked.selectExpr("*", f"{first} AS first_bad")
+        gone = "CASE WHEN first_bad > 0 THEN slice(features, first_bad, array_size(features)) ELSE array() END"
+    rejected = "CASE WHEN odd THEN features IS NULL ELSE typed IS NULL END"
+    lost = f"""CASE WHEN {rejected} THEN array(struct('document' AS kind, line AS value))
+        WHEN odd THEN transform({gone}, feature -> struct('feature' AS kind, to_json(feature) AS value))
+        ELSE array() END"""
+    return looked.select(F.explode(F.expr(lost)).alias("lost")).select("lost.*")
 
 
-def canonical_features(lines: DataFrame, on_error: str = "truncate") -> DataFrame:
+def canonical_features(lines: DataFrame, on_error: str = "truncate", spread: int | None = None) -> DataFrame:
     """Bronze lines to one column `feature`, one typed row per good feature.
 
     Lines without features leave a null row that is dropped after the explode.
     A plain explode would let the optimizer drop them up front, at the price of
-    parsing every line again for that filter.
+    parsing every line again for that filter. `spread` deals the features over that
+    many tasks, by one exchange; without it they stay with their document's task.
     """
     documents = keep_good_features(parse_documents(screen_documents(lines)), on_error)
     exact = _exact_features("features")
     features = documents.selectExpr(f"CASE WHEN odd THEN {exact} ELSE typed END AS features")
     rows = features.select(F.explode_outer("features").alias("feature"))
-    return rows.filter("feature IS NOT NULL")
+    rows = rows.filter("feature IS NOT NULL")
+    return rows.repartition(spread) if spread else rows
 
 
 # --- rows ------------------------------------------------------------------------
@@ -293,11 +316,11 @@ def gold_schema(include_place: bool = True) -> StructType:
 
 
 def canonical_project(
-    lines: DataFrame, on_error: str = "truncate", include_place: bool = True
+    lines: DataFrame, on_error: str = "truncate", include_place: bool = True, spread: int | None = None
 ) -> DataFrame:
     """Bronze lines to canonical silver rows."""
     fields = silver_schema(include_place).fields
-    rows = canonical_features(lines, on_error)
+    rows = canonical_features(lines, on_error, spread)
     return rows.select([canonical_column(field) for field in fields])
 
 

@@ -1,6 +1,7 @@
 """Batch jobs: compositions of sources, operators and sinks a user submits.
 
-Each layer boundary is one action. A job takes the staged documents as a frame
+Each layer is written by one action; landing first looks if there is a document,
+and a canonical load writes its quarantine too. A job takes the staged documents as a frame
 with one text column `value` (see `read_staged`).
 """
 
@@ -10,6 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tremorlake.operators import canonical, nullable
@@ -25,18 +27,26 @@ from tremorlake.schemas import AUDITED, NULLABLE
 from tremorlake.sources import layers as L
 from tremorlake.sources import tables as T
 
+NO_SILVER = "this run has saved no silver"
 TRUNCATE = "truncate"
 APPEND = "append"
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Where a load left its data. `landed` is False if there was no document."""
+    """Where a load left its data. `landed` is False if there was no document.
+
+    The quarantine of a canonical load has the documents and features that its
+    error rule drops, as many as the counts say.
+    """
 
     landed: bool
     bronze: str
     silver: str | None
     table: str
+    quarantine: str | None = None
+    lost_documents: int = 0
+    lost_features: int = 0
 
 
 def _load_gold(silver: DataFrame, table: str, schema: StructType, disposition: str) -> None:
@@ -57,16 +67,18 @@ def nullable_load(
     table: str,
     disposition: str = TRUNCATE,
     as_of: dt.datetime | None = None,
+    spread: int | None = None,
 ) -> LoadResult:
     """Land, flatten, transform, write silver and load gold under nullable rules.
 
     Without a new document the load goes on with the bronze of that date, if
-    there is one.
+    there is one. `spread` deals the rows of large documents over that many tasks.
     """
     spark = documents.sparkSession
     paths = L.Layers(root, "nullable", feed, run_date)
     landed = L.land_bronze(documents, paths.bronze)
     flat = nullable.flatten(L.read_bronze_json(spark, paths.bronze))
+    flat = flat.repartition(spread) if spread else flat
     L.write_silver(nullable.transform_columns(flat, as_of), paths.silver)
     _load_gold(L.read_silver(spark, paths.silver, NULLABLE), table, NULLABLE, disposition)
     return LoadResult(landed, paths.bronze, paths.silver, table)
@@ -99,17 +111,25 @@ def canonical_load(
     on_error: str = "truncate",
     n_files: int | None = None,
     as_of: dt.datetime | None = None,
+    spread: int | None = None,
 ) -> LoadResult:
     """Land, project, write silver and append gold under canonical rules.
 
-    Without `place` the rows still go into a table that has the column.
+    Without `place` the rows still go into a table that has the column. What the
+    error rule drops goes to the quarantine and is counted as it is written.
+    `spread` deals the rows of large documents over that many tasks.
     """
     spark = documents.sparkSession
     paths = L.Layers(root, "canonical", feed, run_date)
     landed = L.land_bronze(documents, paths.bronze)
 
     lines = L.read_bronze_text(spark, paths.bronze)
-    projected = canonical.canonical_project(lines, on_error, include_place)
+    dropped = Observation()
+    lost = canonical.lost_input(lines, on_error).observe(
+        dropped, *(F.count(F.when(F.col("kind") == kind, 1)).alias(kind) for kind in ("document", "feature"))
+    )
+    lost.write.mode("overwrite").parquet(paths.quarantine)
+    projected = canonical.canonical_project(lines, on_error, include_place, spread)
     schema = canonical.silver_schema(include_place)
     outputs = canonical.split_outputs(projected)
     L.write_silver_typed(outputs[canonical.SILVER_TAG], paths.silver, schema, n_files)
@@ -117,7 +137,10 @@ def canonical_load(
     silver = L.read_silver(spark, paths.silver, schema)
     gold = canonical.gold_project(silver, as_of, include_place)
     _load_gold(gold, table, canonical.gold_schema(), APPEND)
-    return LoadResult(landed, paths.bronze, paths.silver, table)
+    counts = dropped.get
+    return LoadResult(
+        landed, paths.bronze, paths.silver, table, paths.quarantine, counts["document"], counts["feature"]
+    )
 
 
 def audited_load(
@@ -150,7 +173,7 @@ def audited_load(
     if landed or not stop_on_failure:
         saved = _audited_silver(trail, spark, paths, as_of)
     if saved or not stop_on_failure:
-        _audited_gold(trail, spark, paths, table)
+        _audited_gold(trail, spark, saved, table)
     return LoadResult(landed, paths.bronze, saved, table)
 
 
@@ -210,15 +233,17 @@ def _audited_silver(
     return saved
 
 
-def _audited_gold(trail: AuditTrail, spark: SparkSession, paths: L.Layers, table: str) -> None:
-    """Load silver into the table and count the rows as they are loaded.
+def _audited_gold(trail: AuditTrail, spark: SparkSession, saved: str | None, table: str) -> None:
+    """Load the silver this run has saved and count the rows as they are loaded.
 
     Silver of this flavour has other columns than the nullable table: the table
     gets a null geometry type, and the feature id and read clock are left out.
     """
     loaded = Observation()
     with trail.stage("load") as stage:
-        silver = L.read_silver(spark, paths.silver, AUDITED)
+        if saved is None:
+            raise ValueError(NO_SILVER)
+        silver = L.read_silver(spark, saved, AUDITED)
         rows = observe_count(conform_schema(silver, NULLABLE), loaded)
         _load_gold(rows, table, NULLABLE, TRUNCATE)
         stage.records = loaded

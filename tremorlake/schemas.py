@@ -91,7 +91,7 @@ EPOCH_COLUMNS = ("event_time", "last_update")
 AUDIT = columns(
     "job_id string, pipeline_name string, function_name string, "
     "start_time timestamp, end_time timestamp, status string, error_msg string, "
-    "process_record int"
+    "process_record bigint"
 )
 
 # ---------------------------------------------------------------------------

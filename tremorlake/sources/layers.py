@@ -16,6 +16,7 @@ from tremorlake.schemas import BRONZE
 # Names that make up a dated path.
 BRONZE_NAME = "raw_data.json"
 SILVER_NAME = "transformed_data"
+QUARANTINE_NAME = "lost_input"
 RUN_DATE_FORMAT = "%Y%m%d"
 
 
@@ -48,6 +49,10 @@ class Layers:
     def silver(self) -> str:
         return dated_path(self.root, "silver", self.flavour, self.feed, self.run_date, SILVER_NAME)
 
+    @property
+    def quarantine(self) -> str:
+        return dated_path(self.root, "quarantine", self.flavour, self.feed, self.run_date, QUARANTINE_NAME)
+
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
     """Staged raw documents, one file each, as a frame with one text column `value`."""
@@ -113,13 +118,19 @@ def write_silver_typed(
 
 
 def read_silver(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Silver Parquet with the declared schema; the path may hold a glob."""
-    return spark.read.schema(schema).parquet(path)
+    """Silver Parquet with the declared schema; the path may hold a glob.
+
+    A folder without a data file is what a failed write leaves, not an empty table.
+    """
+    silver = spark.read.schema(schema).parquet(path)
+    if not silver.inputFiles():
+        raise FileNotFoundError(f"no silver file in {path}")
+    return silver
 
 
 def memory_frame(spark: SparkSession, rows: Iterable[Sequence], schema: StructType | str) -> DataFrame:
-    """A few literal rows of the driver as a frame."""
-    return spark.createDataFrame(list(rows), schema)
+    """A few literal rows of the driver as a frame of one partition."""
+    return spark.createDataFrame(list(rows), schema).coalesce(1)
 
 
 def debug_sample(df: DataFrame, n: int = 20, order_by: Sequence[str] = ()) -> DataFrame:

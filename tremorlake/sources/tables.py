@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -41,8 +43,44 @@ def append_by_name(df: DataFrame, table: str, schema: StructType) -> None:
 
 
 def truncate_and_load(df: DataFrame, table: str, schema: StructType) -> None:
-    """Replace the table's contents, forced into the declared schema."""
-    conform_schema(df, schema).write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Replace the table's contents, forced into the declared schema.
+
+    The rows are written to a folder of their own first; then one change in the
+    catalog points the table to it and the former folder goes. If the write fails,
+    the table is as it was. A table whose columns differ is defined anew.
+    """
+    spark = df.sparkSession
+    typed = conform_schema(df, schema)
+    ensure_table(spark, table, typed.schema)
+    former = _location(spark, table)
+    version = f"{former.rstrip('/').partition(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex[:12]}"
+    typed.write.parquet(version)
+    if _column_types(spark.table(table).schema) != _column_types(typed.schema):
+        spark.sql(f"DROP TABLE {table}")
+        ensure_table(spark, table, typed.schema)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+    spark.catalog.refreshTable(table)
+    _delete(spark, former)
+
+
+# Between the folder of a table and the name of the version in it.
+_VERSION = "__load_"
+
+
+def _column_types(schema: StructType) -> list[tuple]:
+    return [(field.name, field.dataType) for field in schema.fields]
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    """The folder the catalog has for the table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scan_table(spark: SparkSession, table: str) -> DataFrame:

@@ -112,29 +112,30 @@ def flat_features(events: DataFrame) -> DataFrame:
     return events.selectExpr(*properties, "'Point' AS geometry_type", *position)
 
 
-def _properties(rough: bool) -> list[Column]:
+def _properties(rough: bool, faults: bool) -> list[Column]:
     fields = {name: F.expr(sql) for name, sql in {**EXPRESSIONS, **SPARK_TIMES}.items()}
     if rough:
         fields |= {name: F.parse_json(F.expr(sql)) for name, sql in ROUGH_LEAVES.items()}
+    if faults:
         fields["place"] = F.when(~F.expr(PLACE_NULL), F.expr(PLACE))
     return [column.alias(name) for name, column in fields.items()]
 
 
-def _position(rough: bool) -> Column:
+def _position(faults: bool) -> Column:
     position = F.array(*(F.expr(POSITION[name]) for name in COORDINATES))
-    if rough:
+    if faults:
         position = F.when(F.expr(SHORT_POSITION), F.slice(position, 1, 2)).otherwise(position)
     return position
 
 
-def _feature_json(rough: bool) -> Column:
+def _feature_json(rough: bool, faults: bool) -> Column:
     """The feature of an event as JSON text; a null field is written as null."""
-    geometry = F.struct(F.lit("Point").alias("type"), _position(rough).alias("coordinates"))
-    if rough:
+    geometry = F.struct(F.lit("Point").alias("type"), _position(faults).alias("coordinates"))
+    if faults:
         geometry = F.when(~F.expr(GEOMETRY_NULL), geometry)
     feature = F.struct(
         F.lit("Feature").alias("type"),
-        F.struct(*_properties(rough)).alias("properties"),
+        F.struct(*_properties(rough, faults)).alias("properties"),
         geometry.alias("geometry"),
         F.expr("concat('', event_id)").alias("id"),
     )
@@ -147,12 +148,14 @@ def _feature_json(rough: bool) -> Column:
     return text
 
 
-def documents(events: DataFrame, rough: bool = False) -> DataFrame:
+def documents(events: DataFrame, rough: bool = False, faults: bool = True) -> DataFrame:
     """The feed as raw documents over several lines (column `value`).
 
-    The rough feed has faulty features, and among every seven blocks one whose
+    The rough feed has leaves of mixed types and features without any. With its
+    faults it also has bad features, and among every seven blocks one whose
     documents are cut off and one whose documents have no feature list.
     """
+    faults = rough and faults
     timed = events.withColumns(
         {
             "event_ms": F.expr(SPARK_TIMES["time"]),
@@ -160,7 +163,7 @@ def documents(events: DataFrame, rough: bool = False) -> DataFrame:
             "block": F.expr(f"event_id div {BLOCK}"),
         }
     )
-    features = timed.select("feed_day", "block", "event_id", _feature_json(rough).alias("feature"))
+    features = timed.select("feed_day", "block", "event_id", _feature_json(rough, faults).alias("feature"))
     grouped = features.groupBy("feed_day", "block").agg(
         F.array_sort(F.collect_list(F.struct("event_id", "feature"))).alias("features")
     )
@@ -176,7 +179,7 @@ def documents(events: DataFrame, rough: bool = False) -> DataFrame:
         F.array_join(F.transform("features", lambda row: row["feature"]), ",\n"),
         F.lit("\n]}\n"),
     )
-    if not rough:
+    if not faults:
         return grouped.select(F.concat(head, F.lit("features"), listed).alias("value"))
     cycle = F.col("block") % BLOCK_CYCLE
     name = F.when(cycle == UNNAMED_BLOCK, F.lit("entries")).otherwise(F.lit("features"))

@@ -151,6 +151,10 @@ WITH rough AS (
   WHERE first_bad IS NULL OR event_id < first_bad
 )"""
 
+# The rough feed without its faults keeps every event.
+MIXED = f"""
+WITH kept AS (SELECT *, {millis("ts")} AS event_ms, {feed.BARE} AS bare FROM events)"""
+
 DAY = "strftime({0}, '%Y-%m-%d') AS date"
 UPDATED_DAY = DAY.format("updated_day")
 WEEK_START = f"DATE '{AS_OF}' - 7"
@@ -161,7 +165,7 @@ def audit_rows(*stages: str) -> str:
     rows = [
         f"SELECT '101' AS job_id, 'DataPipeline' AS pipeline_name, '{stage}' AS function_name, "
         "'Success' AS status, CAST(NULL AS VARCHAR) AS error_msg, "
-        "CAST(count(*) AS INTEGER) AS process_record FROM events"
+        "CAST(count(*) AS BIGINT) AS process_record FROM events"
         for stage in stages
     ]
     return " UNION ALL ".join(rows)
@@ -171,9 +175,9 @@ def two_stages(count_message: str, refuse_message: str) -> str:
     return (
         f"SELECT '101' AS job_id, 'DataPipeline' AS pipeline_name, 'count' AS function_name, "
         f"'Success' AS status, {count_message} AS error_msg, "
-        "CAST(count(*) AS INTEGER) AS process_record FROM events "
+        "CAST(count(*) AS BIGINT) AS process_record FROM events "
         "UNION ALL SELECT '101', 'DataPipeline', 'refuse', 'Failed', "
-        f"{refuse_message}, CAST(0 AS INTEGER)"
+        f"{refuse_message}, CAST(0 AS BIGINT)"
     )
 
 
@@ -264,17 +268,17 @@ UNION ALL SELECT event_code, CAST(NULL AS VARCHAR), area FROM ({GOLD_ROWS})""",
     "split_outputs": """
 SELECT 'silver' AS tag, count(*) AS records FROM events UNION ALL SELECT 'bq', 0""",
     # scalar functions
-    "safe_cast": f"""{ROUGH}
+    "safe_cast": f"""{MIXED}
 SELECT {ROUGH_CODE}, {ROUGH_STATIONS}, {ROUGH_MAGNITUDE},
        CASE WHEN bare THEN '' ELSE {feed.PLACE} END AS place
 FROM kept""",
-    "falsy_to_empty": f"""{ROUGH}
+    "falsy_to_empty": f"""{MIXED}
 SELECT {ROUGH_CODE}, {ROUGH_ALERT},
        CASE WHEN bare THEN '' ELSE coalesce({feed.EXPRESSIONS["detail"]}, '') END AS description
 FROM kept""",
     "epoch_ms_to_timestamp": f"""
 SELECT CAST(event_id AS VARCHAR) AS code, {shown_seconds("ts")} AS time FROM events""",
-    "epoch_ms_to_iso": f"{ROUGH} SELECT {ROUGH_CODE}, {ROUGH_TIME}, {ROUGH_UPDATE} FROM kept",
+    "epoch_ms_to_iso": f"{MIXED} SELECT {ROUGH_CODE}, {ROUGH_TIME}, {ROUGH_UPDATE} FROM kept",
     "area_regex": f"SELECT CAST(event_id AS VARCHAR) AS code, {AREA_REGEX} AS area FROM events",
     "area_split": f"SELECT CAST(event_id AS VARCHAR) AS code, {AREA_SPLIT} AS area FROM events",
     "to_date": f"{FEATURE} SELECT code, {UPDATED_DAY} FROM feature",
@@ -294,7 +298,7 @@ FROM ({DOCUMENTS}) GROUP BY 1""",
 SELECT concat('{{"code":"', event_id, '","area":"', {AREA_REGEX}, '","sig":', event_id % 1000, '}}')
          AS document
 FROM events""",
-    "field_default": f"""{ROUGH}
+    "field_default": f"""{MIXED}
 SELECT {ROUGH_CODE},
        CASE WHEN bare THEN '' ELSE {AREA_SPLIT} END AS area,
        CASE WHEN bare THEN CAST(0 AS FLOAT) ELSE {position("longitude")} END AS longitude,
@@ -310,6 +314,15 @@ FROM (
 ) GROUP BY 1""",
     "truncate_at_bad_feature": f"{ROUGH} SELECT {rough_columns()} FROM kept",
     "skip_bad_feature": f"{ROUGH} SELECT {ROUGH_CODE}, {ROUGH_TIME} FROM readable WHERE NOT bad",
+    "job_canonical_quarantine": f"""{ROUGH}, lost AS (
+  SELECT 'feature' AS kind, CAST(event_id AS VARCHAR) AS code
+  FROM readable ANTI JOIN kept USING (event_id)
+  UNION ALL
+  SELECT 'document', NULL FROM (SELECT DISTINCT feed_day, block FROM rough)
+  WHERE block % {feed.BLOCK_CYCLE} IN ({feed.BROKEN_BLOCK}, {feed.UNNAMED_BLOCK})
+)
+SELECT kind, code, count(*) FILTER (WHERE kind = 'document') OVER () AS lost_documents,
+       count(*) FILTER (WHERE kind = 'feature') OVER () AS lost_features FROM lost""",
     # predicates, aggregates, windows, top-k
     "magnitude_above": f"{FEATURE} SELECT area, mag FROM feature WHERE mag > 5",
     "last_week_filter": f"""{FEATURE}
@@ -362,7 +375,7 @@ FROM ({audit_rows("flatten")})""",
     "audited_stage": two_stages("CAST(NULL AS VARCHAR)", "'refused'"),
     "stage_row_counts": f"""
 WITH document AS ({DOCUMENTS})
-SELECT function_name, 'Success' AS status, CAST(n AS INTEGER) AS process_record
+SELECT function_name, 'Success' AS status, CAST(n AS BIGINT) AS process_record
 FROM ({_STAGE_COUNTS})""",
     "audit_write_retry": two_stages(f"'{_RETRY_NOTE}'", f"'refused; {_RETRY_NOTE}'"),
     "audit_failure_cascade": f"""
@@ -372,9 +385,9 @@ SELECT status, function_name, CAST(1 AS BIGINT) AS stages,
 FROM ({_STAGE_COUNTS}) CROSS JOIN (SELECT unnest(['Success', 'Failed']) AS status)""",
     "audit_types": """
 SELECT 'string' AS job_id_type, '101' AS job_id, true AS whole_seconds, true AS in_order,
-       CAST(count(*) AS INTEGER) AS process_record
+       CAST(count(*) AS BIGINT) AS process_record
 FROM events
-UNION ALL SELECT 'string', '101', true, true, CAST(0 AS INTEGER)""",
+UNION ALL SELECT 'string', '101', true, true, CAST(0 AS BIGINT)""",
     # jobs
     "job_historical": NULLABLE_ROWS,
     "job_daily": NULLABLE_ROWS,

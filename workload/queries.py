@@ -77,6 +77,11 @@ def canonical_rows(s: Store, **options) -> DataFrame:
     return C.canonical_project(s.lines(), **options)
 
 
+def mixed_rows(s: Store) -> DataFrame:
+    """Every event, with leaves of mixed types."""
+    return C.canonical_project(s.lines(rough=True, faults=False))
+
+
 def rough_rows(s: Store, **options) -> DataFrame:
     return C.canonical_project(s.lines(rough=True), **options)
 
@@ -314,12 +319,12 @@ def _(s: Store) -> DataFrame:
 
 @query("safe_cast")
 def _(s: Store) -> DataFrame:
-    return rough_rows(s).select("event_code", "station_count", "magnitude", "place")
+    return mixed_rows(s).select("event_code", "station_count", "magnitude", "place")
 
 
 @query("falsy_to_empty")
 def _(s: Store) -> DataFrame:
-    return rough_rows(s).select("event_code", "alert_status", "description")
+    return mixed_rows(s).select("event_code", "alert_status", "description")
 
 
 @query("epoch_ms_to_timestamp")
@@ -329,7 +334,7 @@ def _(s: Store) -> DataFrame:
 
 @query("epoch_ms_to_iso")
 def _(s: Store) -> DataFrame:
-    return rough_rows(s).select("event_code", "event_time", "last_update")
+    return mixed_rows(s).select("event_code", "event_time", "last_update")
 
 
 @query("area_regex")
@@ -387,7 +392,7 @@ def _(s: Store) -> DataFrame:
 
 @query("field_default")
 def _(s: Store) -> DataFrame:
-    return rough_rows(s).select("event_code", "area", "longitude", "depth")
+    return mixed_rows(s).select("event_code", "area", "longitude", "depth")
 
 
 # --- errors --------------------------------------------------------------------------
@@ -611,6 +616,20 @@ def _(s: Store) -> DataFrame:
     )
 
 
+@query("job_canonical_quarantine")
+def _(s: Store) -> DataFrame:
+    """What the canonical load drops of the rough feed, with the counts of the job."""
+    result = jobs.canonical_load(
+        s.staged(rough=True), s.fresh("lake"), "daily", RUN_DATE, s.fresh_table("gold"), spread=8
+    )
+    return s.spark.read.parquet(result.quarantine).select(
+        "kind",
+        F.get_json_object("value", "$.id").alias("code"),
+        F.lit(result.lost_documents).cast("bigint").alias("lost_documents"),
+        F.lit(result.lost_features).cast("bigint").alias("lost_features"),
+    )
+
+
 @query("job_canonical_historical")
 def _(s: Store) -> DataFrame:
     result = jobs.canonical_load(

@@ -25,6 +25,10 @@ RUN_DATE = dt.date(2024, 1, 30)
 AS_OF = RUN_DATE
 
 
+def _feed_name(rough: bool, faults: bool) -> str:
+    return "" if not rough else "rough_" if faults else "mixed_"
+
+
 class Store:
     """Derived data of one table folder in one session."""
 
@@ -55,26 +59,26 @@ class Store:
     def fresh_table(self, label: str) -> str:
         return f"{self.namespace()}.{label}_{uuid.uuid4().hex[:12]}"
 
-    def staged(self, rough: bool = False) -> DataFrame:
+    def staged(self, rough: bool = False, faults: bool = True) -> DataFrame:
         """Raw documents, as a feed client would have staged them."""
-        key = "rough_staged" if rough else "staged"
+        key = _feed_name(rough, faults) + "staged"
         if key not in self._done:
             path = self.fresh(key)
-            feed.documents(self.events, rough).write.parquet(path)
+            feed.documents(self.events, rough, faults).write.parquet(path)
             self._done[key] = path
         return self.spark.read.schema("value string").parquet(self._done[key])
 
-    def bronze(self, rough: bool = False) -> str:
+    def bronze(self, rough: bool = False, faults: bool = True) -> str:
         """Path of the landed documents."""
-        key = "rough_bronze" if rough else "bronze"
+        key = _feed_name(rough, faults) + "bronze"
         if key not in self._done:
             path = self.fresh(key)
-            L.land_bronze(self.staged(rough), path)
+            L.land_bronze(self.staged(rough, faults), path)
             self._done[key] = path
         return self._done[key]
 
-    def lines(self, rough: bool = False) -> DataFrame:
-        return L.read_bronze_text(self.spark, self.bronze(rough))
+    def lines(self, rough: bool = False, faults: bool = True) -> DataFrame:
+        return L.read_bronze_text(self.spark, self.bronze(rough, faults))
 
     def documents(self) -> DataFrame:
         return L.read_bronze_json(self.spark, self.bronze())
