@@ -165,21 +165,14 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("id"), text_key().alias("text_hash"), "text")
     matches = _matches(texts)
-    known = matches.where(F.col("kind") < 3).select("id", "text_hash", "start", "kind", "end")
-    high = (
-        matches.where(F.col("kind") == 3)
-        .withColumn("span", F.explode("hot"))
-        .select(
-            "id",
-            "text_hash",
-            (F.col("start") + F.col("span.start")).alias("start"),
-            "kind",
-            (F.col("start") + F.col("span.end")).alias("end"),
-        )
-    )
-    grouped = known.union(high).groupBy("id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")
+    # One branch for all kinds: the matches are made in one pass over the texts.
+    own = F.transform(
+        F.coalesce("hot", F.array(F.struct(F.lit(0).alias("start"), (F.col("end") - F.col("start")).cast("int").alias("end")))),
+        lambda span: F.struct(
+            (F.col("start") + span["start"]).alias("start"), F.col("kind").alias("kind"), (F.col("start") + span["end"]).alias("end")
+        ),
     )
+    grouped = matches.groupBy("id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list(own))).alias("spans"))
     inside = """filter(spans, s -> s.kind < 3 OR NOT exists(filter(spans, b -> b.kind < 3),
                                                            b -> b.start <= s.start AND s.end <= b.end))"""
     return grouped.select("id", "text_hash", F.expr(inside).alias("found"))
