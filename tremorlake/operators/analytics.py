@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.functions.scalars import days_before
 
-# Thresholds of the questions.
+# Thresholds of the questions, and the names of their result columns below.
 STRONG_MAGNITUDE = 5
 WEEK_DAYS = 7
 BUSIEST_AREAS = 5

@@ -236,9 +236,7 @@ FROM ({DOCUMENTS})""",
     "silver_write": NULLABLE_ROWS,
     "silver_write_single": CANONICAL_ROWS,
     "silver_read": f"SELECT code, mag, sig, nst, felt, time, area FROM ({NULLABLE_ROWS})",
-    "gold_append": f"""
-SELECT event_code, magnitude, event_time FROM ({GOLD_ROWS})
-UNION ALL SELECT event_code, magnitude, event_time FROM ({GOLD_ROWS})""",
+    "gold_append": f"{GOLD_ROWS} UNION ALL {GOLD_ROWS}",
     "gold_truncate_load": NULLABLE_ROWS,
     "ensure_namespace": "SELECT true AS namespace_exists, count(*) AS stored FROM events",
     "ensure_table": audit_rows("count"),
@@ -395,9 +393,7 @@ UNION ALL SELECT 'string', '101', true, true, CAST(0 AS BIGINT)""",
     "job_canonical_historical": f"""
 SELECT * REPLACE (CAST(NULL AS VARCHAR) AS place) FROM ({GOLD_ROWS})""",
     "job_audited": f"SELECT {nullable_columns(nulls=('geometry_type',))} FROM events",
-    "job_append_functions": f"""
-SELECT code, area, mag, updated FROM ({NULLABLE_ROWS})
-UNION ALL SELECT code, area, mag, updated FROM ({NULLABLE_ROWS})""",
+    "job_append_functions": f"{NULLABLE_ROWS} UNION ALL {NULLABLE_ROWS}",
 }
 
 
