@@ -5,7 +5,7 @@ import hashlib
 import pytest
 
 import corpus_pipeline
-from tests.llm.conftest import ROWS
+from tests.llm.conftest import LONG, ROWS
 from tremorlake.llm import bytepair, fertility, lines, mixing, neighbours, quality, secrets, simhash, substrings, tokens
 
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -55,6 +55,10 @@ def test_lines(odd, nothing):
     assert kept[2][0].text == "" and sorted(kept[2][0][removed]) == [0, 1]  # a null source is a source
     assert kept[4][0].text is None and kept[3][0].text in ("", ROWS[-1][1])
     assert kept[7][0].text == ROWS[9][1]
+    assert kept[5][0].text == LONG  # its lines are in one source
+    long = [(i, LONG + f"own {i}", f"s{i}") for i in range(2)]
+    long = by_id(lines.dedup_lines(odd.sparkSession.createDataFrame(long, "doc_id long, text string, source string"), min_sites=2)[0].collect())
+    assert [long[0][0].text.split("\n"), long[1][0].text] == [LONG.split("\n")[:2] + ["own 0"], "own 1"]
     assert set(odd.columns) <= set(result.columns) and kept[1][0].removed == 4
     assert lines.dedup_lines(nothing)[0].count() == 0
 

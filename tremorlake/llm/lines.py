@@ -88,10 +88,11 @@ def boilerplate_lines(
 
 def _kept_text(text: str, removed: str):
     """The text without the lines of those numbers."""
+    # The text is split once: the array of one is there to give its lines a name.
     return F.expr(
         f"""CASE WHEN `{removed}` IS NULL OR `{text}` IS NULL THEN `{text}` ELSE
-        array_join(transform(array_except(sequence(0, size(split(`{text}`, '\\n', -1)) - 1), `{removed}`),
-                             i -> split(`{text}`, '\\n', -1)[i]), '\\n') END"""
+        transform(array(split(`{text}`, '\\n', -1)), lines ->
+            array_join(transform(array_except(sequence(0, size(lines) - 1), `{removed}`), i -> lines[i]), '\\n'))[0] END"""
     )
 
 
