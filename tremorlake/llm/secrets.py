@@ -28,6 +28,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+_CODES = 128  # a candidate is ASCII
 
 # Least entropy in bits of a window of 20 characters, by class of the candidate.
 # Random text of the classes has about 3.4, 4.0 and 4.1 bits; words have less.
@@ -109,48 +110,58 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
     threshold = F.lit(None).cast("double")
     for _, pattern, bits in reversed(CLASSES):
         threshold = F.when(text.rlike(pattern), F.lit(bits)).otherwise(threshold)
-    # A window is over the threshold if its sum of c * log2(c) is under this.
+    # A window is over the threshold if its sum of c * log2(c) is under this. It is in
+    # the state, so that the patterns are tried once and not at each step.
     most = (F.log2(F.lit(window)) - threshold) * window
 
-    def code(position: Column) -> Column:
-        return F.ascii(F.substring(text, position, F.lit(1)))
+    terms = F.array(*log)
 
-    def step(state: Column, i: Column) -> Column:
-        come = code(i)
-        gone = F.when(i > window, code(i - window)).otherwise(F.lit(-1))
-        counts = state["counts"]
-        more = F.element_at(counts, come + 1)
-        less = F.when(gone >= 0, F.element_at(counts, F.greatest(gone, F.lit(0)) + 1)).otherwise(F.lit(0))
-        terms = F.array(*log)
+    def term(n: Column) -> Column:
+        return F.element_at(terms, n + 1)
 
-        def term(n: Column) -> Column:
-            return F.element_at(terms, n + 1)
+    def move(code: Column, by: int) -> Column:
+        return F.struct((code + 1).alias("place"), F.lit(by).alias("by"))
 
-        moved = F.when(gone == come, 0.0).otherwise(
-            term(more + 1) - term(more) + F.when(gone >= 0, term(less - 1) - term(less)).otherwise(0.0)
+    # The string is cut into characters once. Each comes in after the one that leaves the window.
+    codes = F.transform(F.split(text, ""), F.ascii)
+    old = F.slice(codes, F.lit(1), F.greatest(F.length(text) - window, F.lit(0)))
+    moves = F.flatten(
+        F.zip_with(
+            codes,
+            F.concat(F.array_repeat(F.lit(-1), window), old),
+            lambda come, gone: F.when(gone < 0, F.array(move(come, 1))).otherwise(F.array(move(gone, -1), move(come, 1))),
         )
-        total = state["total"] + moved
-        changed = F.transform(
-            counts,
-            lambda c, at: c + F.when(at == come, 1).otherwise(0) - F.when(at == gone, 1).otherwise(0),
+    )
+
+    def step(state: Column, move: Column) -> Column:
+        place, by, counts, spans = move["place"], move["by"], state["counts"], state["spans"]
+        count = F.element_at(counts, place)
+        changed = F.concat(
+            F.slice(counts, F.lit(1), place - 1), F.array(count + by), F.slice(counts, place + 1, F.lit(_CODES) - place)
         )
-        hot = (i >= window) & (total < most)
-        spans = state["spans"]
-        last = F.element_at(spans, -1)
-        start, end = i - window, i
+        total = state["total"] + term(count + by) - term(count)
+        end = state["end"] + F.greatest(by, F.lit(0))
+        start, last = end - window, F.element_at(spans, -1)
+        hot = (by > 0) & (start >= 0) & (total < state["most"])
         joined = F.concat(
             F.slice(spans, F.lit(1), F.size(spans) - 1),
             F.array(F.struct(last["start"].alias("start"), end.alias("end"))),
         )
         added = F.concat(spans, F.array(F.struct(start.alias("start"), end.alias("end"))))
         grown = F.when(~hot, spans).when((F.size(spans) > 0) & (start <= last["end"]), joined).otherwise(added)
-        return F.struct(changed.alias("counts"), total.alias("total"), grown.alias("spans"))
+        return F.struct(
+            end.alias("end"), changed.alias("counts"), total.alias("total"), state["most"].alias("most"), grown.alias("spans")
+        )
 
     none = F.array().cast("array<struct<start:int,end:int>>")
     begin = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("total"), none.alias("spans")
+        F.lit(0).alias("end"),
+        F.array_repeat(F.lit(0), _CODES).alias("counts"),
+        F.lit(0.0).alias("total"),
+        most.alias("most"),
+        none.alias("spans"),
     )
-    scanned = F.aggregate(F.sequence(F.lit(1), F.length(text)), begin, step, lambda state: state["spans"])
+    scanned = F.aggregate(moves, begin, step, lambda state: state["spans"])
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | text.rlike(pattern)
@@ -165,17 +176,23 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("id"), text_key().alias("text_hash"), "text")
     matches = _matches(texts)
+    whole = F.array(F.struct(F.lit(0).alias("start"), (F.col("end") - F.col("start")).cast("int").alias("end")))
     # One branch for all kinds: the matches are made in one pass over the texts.
-    own = F.transform(
-        F.coalesce("hot", F.array(F.struct(F.lit(0).alias("start"), (F.col("end") - F.col("start")).cast("int").alias("end")))),
-        lambda span: F.struct(
-            (F.col("start") + span["start"]).alias("start"), F.col("kind").alias("kind"), (F.col("start") + span["end"]).alias("end")
-        ),
+    spans = matches.select(
+        "id", "text_hash", "kind", F.col("start").alias("at"), F.explode(F.coalesce("hot", whole)).alias("span")
+    ).select(
+        "id", "text_hash", "kind", (F.col("at") + F.col("span.start")).alias("start"), (F.col("at") + F.col("span.end")).alias("end")
+    )
+    known = F.col("kind") < KINDS.index("entropy")
+    # The texts of the matches are together already, so this needs no exchange either.
+    so_far = Window.partitionBy("id", "text_hash").orderBy("start", "kind", "end").rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.coalesce(F.max(F.when(known, F.col("end"))).over(so_far), F.lit(0))
+    return (
+        spans.withColumn("reach", reach)
+        .where(known | (F.col("reach") < F.col("end")))
+        .groupBy("id", "text_hash")
+        .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("found"))
     )
-    grouped = matches.groupBy("id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list(own))).alias("spans"))
-    inside = """filter(spans, s -> s.kind < 3 OR NOT exists(filter(spans, b -> b.kind < 3),
-                                                           b -> b.start <= s.start AND s.end <= b.end))"""
-    return grouped.select("id", "text_hash", F.expr(inside).alias("found"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
