@@ -60,6 +60,8 @@ def test_byte_bpe_of_odd_texts(library):
     rng = random.Random(1)
     odd = ["", "a", "a" * 3000, "ab" * 1000, "<|endoftext|>", "日本😀👩‍👩", "1234567890" * 99, " \x1c\x85\xa0 x"]
     odd += ["".join(chr(rng.randrange(32, 0x2FFF)) for _ in range(2000))]
+    for alphabet in ("ab", "the", "etaoinshrdlu", "abcdefghijklmnopqrstuvwxyz", "анеист", " ", "\n\t "):
+        odd += ["".join(rng.choices(alphabet, k=n)) for n in (2100, 9000)]
     path = public_tokenizers.path(bytepair.RANKS)
     found = list(bytepair.encode(path, regex.compile(public_tokenizers.PATTERN), [text.encode() for text in odd]))
     assert [list(ids) for ids in found] == [library.encode_ordinary(text) for text in odd]
@@ -111,6 +113,15 @@ def test_secrets(spark, documents, texts):
     assert high >= 20
 
 
+def test_long_candidates(spark):
+    """Strings and lists of secrets that would take minutes if the work grew with the square."""
+    rng = random.Random(7)
+    long = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=40_000))
+    many = "\n".join(f"token={rng.getrandbits(128):032x}" for _ in range(3000))
+    for row in secrets.scan(spark.createDataFrame([(0, long), (1, many)], "doc_id long, text string")).collect():
+        assert row.spans == plain_secrets((long, many)[row.doc_id])[1]
+
+
 def plain_fingerprint(text):
     own = words(text.lower() if text.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), text))
     grams = [own] if len(own) < 3 else [own[i : i + 3] for i in range(len(own) - 2)]

@@ -3,7 +3,9 @@
 The distinct pieces of a group of texts are sorted into matrices by length, one
 row of token ids per piece, padded. Every round, each row looks up the ranks of
 its adjacent pairs in a hash table, merges its leftmost pair of least rank and
-moves what follows up; rows without a pair left drop out.
+moves what follows up; rows without a pair left drop out. A long piece has a row to
+itself. There one round merges all places of its least rank, from left to right, as
+far as that gives what one merge a round would.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 _NONE = np.int32(1 << 30)
 _CELLS = 1 << 18
+_LONG = 1 << 11  # bytes of a piece that has a row to itself
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,6 +124,32 @@ def _merge_rows(vocab: Vocabulary, ids: np.ndarray) -> np.ndarray:
     return done
 
 
+def _merge_long(vocab: Vocabulary, ids: np.ndarray) -> np.ndarray:
+    """Ids of one piece after all merges.
+
+    Merging a place makes two pairs with its neighbours. If neither has a lower rank
+    than the place, the next merge is at the next place of the same rank. So all of
+    them are merged in one round, up to the first that makes a pair of lower rank.
+    """
+    ranks = vocab.merged(ids[:-1], ids[1:])
+    while len(ranks) and (least := ranks.min()) != _NONE:
+        at = np.flatnonzero(ranks == least)
+        first = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, at, 0))
+        at = at[(at - first) % 2 == 0]  # of places that overlap, every other one from the left
+        token = np.full(len(at), least, np.int32)
+        around = np.concatenate([[-1], ids, [-1]]).astype(np.int32)
+        left = np.where(np.diff(at, prepend=-3) == 2, token, around[at])
+        lower = (vocab.merged(left, token) < least) | (vocab.merged(token, around[at + 3]) < least)
+        if lower.any():
+            at = at[: lower.argmax() + 1]
+        ids[at] = least
+        ids, ranks = np.delete(ids, at + 1), np.delete(ranks, at)
+        for place in (at - np.arange(len(at)) - 1, at - np.arange(len(at))):
+            place = place[(place >= 0) & (place < len(ranks))]
+            ranks[place] = vocab.merged(ids[place], ids[place + 1])
+    return ids
+
+
 def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all pieces, one after the other, and how many each has."""
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -128,9 +157,13 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray, n
     starts = np.cumsum(sizes) - sizes
     counts = np.zeros(len(pieces), np.int64)
     results = []
+    for number in np.flatnonzero(sizes > _LONG):
+        ids = _merge_long(vocab, data[starts[number] : starts[number] + sizes[number]].copy())
+        counts[number] = len(ids)
+        results.append((np.array([number]), ids))
     widths = 1 << np.ceil(np.log2(np.maximum(sizes, 2))).astype(np.int64)
-    for width in np.unique(widths):
-        members = np.flatnonzero(widths == width)
+    for width in np.unique(widths[sizes <= _LONG]):
+        members = np.flatnonzero((widths == width) & (sizes <= _LONG))
         for first in range(0, len(members), max(1, _CELLS // width)):
             chosen = members[first : first + max(1, _CELLS // width)]
             column = np.arange(width)
@@ -180,9 +213,8 @@ def encode_and_decode(
 
     ids_sha256 is of the ids as little-endian unsigned 32-bit integers. A null
     text is an empty one, which has no tokens. Rows that repeat get equal results,
-    an empty table gives no rows. Only doc_id and text are looked at. A piece of
-    n bytes takes up to n rounds: one without any blank, letter change or digit of
-    megabytes is slow, not wrong.
+    an empty table gives no rows. Only doc_id and text are looked at. A piece that is
+    long (no blank, letter change or digit in it) takes a round for each rank it has.
     """
     path = path or public_tokenizers.path(RANKS)
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
