@@ -119,6 +119,16 @@ def test_fertility(odd, nothing):
     assert fertility.judge(nothing).count() == 0
 
 
+def test_fertility_rejects(spark):
+    """Of labelled documents that pass the base rules, most bad ones go and good ones stay."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    judged = fertility.judge(spark.read.parquet(f"{folder}/documents.parquet")).where("NOT base_failed").join(labels, "doc_id")
+    rows = judged.select("quality", "kept").collect()
+    good, bad = ([row.kept for row in rows if row.quality == value] for value in (1, 0))
+    assert sum(good) / len(good) >= 0.98 and sum(bad) / len(bad) <= 0.6
+
+
 def test_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0])]
