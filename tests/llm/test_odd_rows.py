@@ -129,6 +129,21 @@ def test_fertility_rejects(spark):
     assert sum(good) / len(good) >= 0.98 and sum(bad) / len(bad) <= 0.6
 
 
+def test_fertility_rare_language(spark):
+    """A language with a few documents has its own band, and one document more flips no verdict."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 1500")
+    numbers = fertility.measured(docs).where(~fertility._failed_base())
+    spanish = [row.doc_id for row in numbers.where("lang = 'es'").select("doc_id").orderBy("doc_id").collect()]
+    english = docs.where("lang = 'en'")
+    kept = {}
+    for n in (30, 49, 50):
+        few = docs.where(docs.doc_id.isin(spanish[:n]))
+        judged = fertility.judge(english.union(few)).join(few.select("doc_id"), "doc_id")
+        kept[n] = {row.doc_id: row.kept for row in judged.collect()}
+    assert {i: kept[50][i] for i in kept[49]} == kept[49]
+    assert sum(kept[30].values()) >= 28 and sum(kept[49].values()) >= 46
+
+
 def test_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0])]

@@ -19,10 +19,10 @@ from functools import lru_cache, reduce
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import checked, same, saved, text_groups, word_numbers
+from tremorlake.llm.common import checked, saved, text_groups, word_numbers
 
 TOKENIZER = "piece_bpe_32k.model"
 MIN_WORDS = 50
@@ -37,8 +37,12 @@ SYMBOLS = b"#*$%&|<>"
 WIDTH = 5.0
 LEAST_WIDTH = {"chars_per_token": 0.1, "byte_share": 0.03, "evenness": 0.0}
 MEASURES = tuple(LEAST_WIDTH)
-# A band needs this many documents; a rarer language uses the band of all documents.
-MIN_DOCUMENTS = 50
+# Median deviations of measures as they are in prose, and the number of documents that
+# they count as beside those at hand: no number of documents is a limit.
+USUAL = {"chars_per_token": 0.025, "byte_share": 0.0, "evenness": 0.05}
+WEIGHT = 20
+# A median of n documents scatters by its own: a variance of about this by n.
+OF_MEDIAN = 1.57
 
 # First code points of blocks, and the script that letters there are of.
 BLOCKS = {
@@ -173,15 +177,19 @@ def _failed_base():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATS * F.col("n_words"))
 
 
-def bands(numbers: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """Middle and median distance from it of each measure, by language, over all
-    documents that pass the base rules. A language with fewer than min_documents of
-    them has the numbers of all languages together."""
+def bands(numbers: DataFrame, weight: int = WEIGHT) -> DataFrame:
+    """Middle of each measure and deviation from it, by language, over all documents
+    that pass the base rules.
+
+    The middle is always the language's own. Its median deviation is averaged with that
+    of all documents from the middles of their languages, which counts as `weight`
+    documents, and grows by what the middle itself scatters; so both fade as documents
+    get more, and a rare language is judged by its own middle.
+    """
     kind = F.coalesce("lang", F.concat(F.lit("script "), "script"))
     passing = numbers.where(~_failed_base()).select(kind.alias("kind"), "n_words", *MEASURES)
-    both = passing.union(passing.withColumn("kind", F.lit(None).cast("string")))
     middles = saved(
-        both.groupBy(F.col("kind").alias("of_kind")).agg(
+        passing.groupBy(F.col("kind").alias("of_kind")).agg(
             F.count("*").alias("n"),
             F.percentile_approx("n_words", 0.5, 10_000).alias("mid_words"),
             *(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in MEASURES),
@@ -189,20 +197,36 @@ def bands(numbers: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
         "fertility-middles",
     )
     few = checked(middles)
-    found = (
-        both.join(few, same(both, few, [("kind", "of_kind")]))
-        .groupBy(*middles.columns)
-        .agg(*(F.percentile_approx(F.abs(F.col(m) - F.col(f"mid_{m}")), 0.5, 10_000).alias(f"dev_{m}") for m in MEASURES))
+    apart = passing.join(few, passing["kind"] == few["of_kind"]).select(
+        "kind", *(F.abs(F.col(m) - F.col(f"mid_{m}")).alias(m) for m in MEASURES)
+    )
+    both = apart.union(apart.withColumn("kind", F.lit(None).cast("string")))
+    found = saved(
+        both.groupBy("kind").agg(
+            F.count("*").alias("n_apart"), *(F.percentile_approx(m, 0.5, 10_000).alias(f"own_{m}") for m in MEASURES)
+        ),
+        "fertility-deviations",
+    )
+    of_all = found.where("kind IS NULL").select(
+        *(
+            ((F.col("n_apart") * F.col(f"own_{m}") + weight * USUAL[m]) / (F.col("n_apart") + weight)).alias(f"all_{m}")
+            for m in MEASURES
+        )
+    )
+    own = found.join(middles, found["kind"] == middles["of_kind"]).crossJoin(F.broadcast(of_all))  # a row
+    scatter = F.sqrt(1 + F.lit(OF_MEDIAN) / F.col("n"))
+    return own.select(
+        "of_kind",
+        "mid_words",
+        *(F.col(f"mid_{m}") for m in MEASURES),
+        *(
+            ((F.col("n") * F.col(f"own_{m}") + weight * F.col(f"all_{m}")) / (F.col("n") + weight) * scatter).alias(f"dev_{m}")
+            for m in MEASURES
+        ),
     )
-    facts = [name for name in found.columns if name.startswith(("mid_", "dev_"))]
-    everything = Window.partitionBy()  # a row per language
-    of_all = {name: F.max(F.when(F.col("of_kind").isNull(), F.col(name))).over(everything) for name in facts}
-    return found.select(
-        "of_kind", *(F.when(F.col("n") < min_documents, of_all[name]).otherwise(F.col(name)).alias(name) for name in facts)
-    ).where("of_kind IS NOT NULL")
 
 
-def judge(docs: DataFrame, path: str | None = None, width: float = WIDTH, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def judge(docs: DataFrame, path: str | None = None, width: float = WIDTH, weight: int = WEIGHT) -> DataFrame:
     """Numbers and verdict of every row of docs.
 
     kept is false if the base rules fail, else true if every measure is in the band
@@ -212,7 +236,7 @@ def judge(docs: DataFrame, path: str | None = None, width: float = WIDTH, min_do
     """
     numbers = saved(measured(docs, path), "fertility")
     # A document that passes the base rules is in a band; the others need none.
-    own = checked(saved(bands(numbers, min_documents), "fertility-bands"))
+    own = checked(saved(bands(numbers, weight), "fertility-bands"))
     kind = F.coalesce("lang", F.concat(F.lit("script "), "script"))
     joined = numbers.join(own, kind == own["of_kind"], "left")
     wider = F.greatest(F.lit(1.0), F.sqrt(F.col("mid_words") / F.greatest(F.col("n_words"), F.lit(1))))
