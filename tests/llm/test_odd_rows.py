@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, repeats, empty tables, clashing columns."""
 
 import hashlib
+import random
 
 import pytest
 
@@ -98,6 +99,20 @@ def test_secrets(odd, nothing):
     assert clean[9][0].text == "[secret]\" [secret]" and clean[1][0].text == ROWS[0][1]
 
 
+def test_secrets_joined(spark):
+    """A hex key beside a name is found as a whole, words and digits there are not."""
+    rng = random.Random(5)
+    keys = ["".join(rng.choices("0123456789ABCDEF", k=k)) for k in (32, 64) for _ in range(25)]
+    names = ("key/", "id=", "sig-", "SIGNING_KEY=", "")
+    texts = [f"see {name}{key}{end} here" for key in keys for name in names for end in ("", "/more")]
+    texts += ["the order-id-number-20240130123456789012 and some-words-that-are-joined-here/2"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {row.doc_id: row.text for row in secrets.redact(table).collect()}
+    left = [i for i in range(len(texts) - 1) if keys[i // 10][-8:] in clean[i] or keys[i // 10][:8] in clean[i]]
+    assert len(left) <= len(texts) * 0.02
+    assert clean[len(texts) - 1] == texts[-1]
+
+
 def test_simhash(odd, nothing):
     rows = by_id(simhash.near_duplicates(odd).collect(), "id")
     assert sum(map(len, rows.values())) == len(ROWS)

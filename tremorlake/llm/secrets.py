@@ -8,8 +8,9 @@ each match ends. Only documents that have a candidate at all are cut up.
 The entropy scan slides a window over each candidate string and keeps the counts
 of its characters, taking one in and one out at each step. With c the counts and
 w the window, the entropy is log2(w) - sum(c * log2(c)) / w; the sum changes by
-two terms a step. Thresholds depend on the class of characters in the candidate,
-and known harmless forms are suppressed.
+two terms a step. Thresholds depend on the class of characters in the candidate; a
+window of hex digits alone has the threshold of hex in any candidate, and its span is
+the whole run of hex digits. Known harmless forms are suppressed.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ WINDOW = 20
 _CODES = 128  # a candidate is ASCII
 
 # Least entropy in bits of a window of 20 characters, by class of the candidate.
-# Random text of the classes has about 3.4, 4.0 and 4.1 bits; words have less.
+# Random text of the classes has about 3.4, 4.0 and 4.1 bits; words have less. Of random
+# strings of 20 characters each threshold misses under a tenth, see README.
 CLASSES = (
     ("hex", r"^[0-9a-fA-F]+$", 3.1),
-    ("letters", r"^[A-Za-z]+$", 4.0),
+    ("letters", r"^[A-Za-z]+$", 3.7),
     ("mixed", r"", 3.7),
 )
 
@@ -104,7 +106,8 @@ def _matches(texts: DataFrame) -> DataFrame:
 
 def entropy_spans(value: str, window: int = WINDOW) -> Column:
     """Merged spans (start, end) of the windows of a string column that are over the
-    threshold of its class; none if the string is allowed or null."""
+    threshold of its class, and of the runs of hex digits with a window over that of
+    hex that is not of digits alone; none if the string is allowed or null."""
     log = [F.lit(0.0)] + [F.lit(n).cast("double") * F.log2(F.lit(n)) for n in range(1, window + 1)]
     text = F.col(value)
     threshold = F.lit(None).cast("double")
@@ -113,6 +116,7 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
     # A window is over the threshold if its sum of c * log2(c) is under this. It is in
     # the state, so that the patterns are tried once and not at each step.
     most = (F.log2(F.lit(window)) - threshold) * window
+    most_hex = (F.log2(F.lit(window)) - dict((name, bits) for name, _, bits in CLASSES)["hex"]) * window
 
     terms = F.array(*log)
 
@@ -120,7 +124,9 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
         return F.element_at(terms, n + 1)
 
     def move(code: Column, by: int) -> Column:
-        return F.struct((code + 1).alias("place"), F.lit(by).alias("by"))
+        digit = code.between(ord("0"), ord("9"))
+        is_hex = digit | code.between(ord("A"), ord("F")) | code.between(ord("a"), ord("f"))
+        return F.struct((code + 1).alias("place"), F.lit(by).alias("by"), digit.alias("digit"), is_hex.alias("hex"))
 
     # The string is cut into characters once. Each comes in after the one that leaves the window.
     codes = F.transform(F.split(text, ""), F.ascii)
@@ -142,15 +148,37 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
         total = state["total"] + term(count + by) - term(count)
         end = state["end"] + F.greatest(by, F.lit(0))
         start, last = end - window, F.element_at(spans, -1)
-        hot = (by > 0) & (start >= 0) & (total < state["most"])
+        comes = by > 0
+        # Where the runs of hex digits and of digits begin that reach to here.
+        run = F.when(comes & ~move["hex"], end).otherwise(state["run"])
+        digits = F.when(comes & ~move["digit"], end).otherwise(state["digits"])
+        hot = comes & (start >= 0) & (total < state["most"])
+        hot_hex = comes & (run <= start) & (digits > start) & (total < most_hex)
+        in_hex = F.when(comes, hot_hex | (state["in_hex"] & move["hex"])).otherwise(state["in_hex"])
+        to_run = comes & in_hex
+        first = F.when(to_run, F.when(hot, F.least(start, run)).otherwise(run)).otherwise(start)
         joined = F.concat(
-            F.slice(spans, F.lit(1), F.size(spans) - 1),
-            F.array(F.struct(last["start"].alias("start"), end.alias("end"))),
+            F.filter(spans, lambda span: span["end"] < first),
+            F.array(
+                F.struct(
+                    F.least(first, F.filter(spans, lambda span: span["end"] >= first)[0]["start"]).alias("start"),
+                    end.alias("end"),
+                )
+            ),
+        )
+        added = F.concat(spans, F.array(F.struct(first.alias("start"), end.alias("end"))))
+        grown = (
+            F.when(~(hot | to_run), spans).when((F.size(spans) > 0) & (first <= last["end"]), joined).otherwise(added)
         )
-        added = F.concat(spans, F.array(F.struct(start.alias("start"), end.alias("end"))))
-        grown = F.when(~hot, spans).when((F.size(spans) > 0) & (start <= last["end"]), joined).otherwise(added)
         return F.struct(
-            end.alias("end"), changed.alias("counts"), total.alias("total"), state["most"].alias("most"), grown.alias("spans")
+            end.alias("end"),
+            changed.alias("counts"),
+            total.alias("total"),
+            state["most"].alias("most"),
+            run.alias("run"),
+            digits.alias("digits"),
+            in_hex.alias("in_hex"),
+            grown.alias("spans"),
         )
 
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -159,6 +187,9 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
         F.array_repeat(F.lit(0), _CODES).alias("counts"),
         F.lit(0.0).alias("total"),
         most.alias("most"),
+        F.lit(0).alias("run"),
+        F.lit(0).alias("digits"),
+        F.lit(False).alias("in_hex"),
         none.alias("spans"),
     )
     scanned = F.aggregate(moves, begin, step, lambda state: state["spans"])
