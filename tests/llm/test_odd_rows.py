@@ -113,6 +113,20 @@ def test_secrets_joined(spark):
     assert clean[len(texts) - 1] == texts[-1]
 
 
+def test_secrets_beside_placeholders(spark):
+    """A placeholder takes itself out of a candidate, not what is beside it."""
+    rng = random.Random(6)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    a, b = ("".join(rng.choices(alphabet, k=60)) for _ in range(2))
+    texts = [f"docs/example/{a}", f"your_key={a}", f"{a}xXxXx{b}", f"{a}EXAMPLE", "docs/example/placeholder/2", "your_key_0123456789xxxxxx"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {row.doc_id: row.text for row in secrets.redact(table).collect()}
+    for i, left in enumerate(("docs/example/", "your_key=", "xXxXx", "EXAMPLE")):
+        assert a[5:-5] not in clean[i] and b[5:-5] not in clean[i]
+        assert "[secret]" in clean[i] and len(clean[i].replace("[secret]", "")) <= len(left) + 8
+    assert clean[2].count("[secret]") == 2 and [clean[4], clean[5]] == texts[4:]
+
+
 def test_simhash(odd, nothing):
     rows = by_id(simhash.near_duplicates(odd).collect(), "id")
     assert sum(map(len, rows.values())) == len(ROWS)

@@ -10,7 +10,8 @@ of its characters, taking one in and one out at each step. With c the counts and
 w the window, the entropy is log2(w) - sum(c * log2(c)) / w; the sum changes by
 two terms a step. Thresholds depend on the class of characters in the candidate; a
 window of hex digits alone has the threshold of hex in any candidate, and its span is
-the whole run of hex digits. Known harmless forms are suppressed.
+the whole run of hex digits. Known harmless forms are suppressed: a candidate that is
+one as a whole, and windows that overlap a placeholder.
 """
 
 from __future__ import annotations
@@ -40,14 +41,20 @@ CLASSES = (
     ("mixed", r"", 3.7),
 )
 
-# Candidates that are no secrets: identifiers of a public form, placeholders,
-# words joined by signs, paths, and runs of digits.
+# Candidates that are no secrets: identifiers of a public form, words joined by
+# signs, paths, and runs of digits.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)example|placeholder|your[_-]|changeme|xxxx|0123456789|abcdefgh",
     r"^[A-Za-z]{1,15}([-_/=+]+[A-Za-z]{1,15})*[-_/=+]*$",
     r"^[0-9+/_=-]+$",
 )
+# Characters of placeholders: a window with one of them has no entropy span, the rest of
+# the candidate is scanned. Each character in turn, so that the places stay.
+PLACEHOLDERS = ("example", "placeholder", "your_", "your-", "changeme", "xxxx", "0123456789", "abcdefgh")
+HARMLESS = "(?i)" + "|".join(
+    f"(?<={word[:at]}){word[at]}(?={word[at + 1:]})" for word in PLACEHOLDERS for at in range(len(word))
+)
+_MASK = "!"  # in no candidate
 
 
 def _pieces(kind: str, pattern: str, guard: str, least: int, group: int = 0) -> Column:
@@ -129,7 +136,8 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
         return F.struct((code + 1).alias("place"), F.lit(by).alias("by"), digit.alias("digit"), is_hex.alias("hex"))
 
     # The string is cut into characters once. Each comes in after the one that leaves the window.
-    codes = F.transform(F.split(text, ""), F.ascii)
+    masked = F.when(text.rlike("(?i)" + "|".join(PLACEHOLDERS)), F.regexp_replace(text, HARMLESS, _MASK)).otherwise(text)
+    codes = F.transform(F.split(masked, ""), F.ascii)
     old = F.slice(codes, F.lit(1), F.greatest(F.length(text) - window, F.lit(0)))
     moves = F.flatten(
         F.zip_with(
@@ -152,7 +160,8 @@ def entropy_spans(value: str, window: int = WINDOW) -> Column:
         # Where the runs of hex digits and of digits begin that reach to here.
         run = F.when(comes & ~move["hex"], end).otherwise(state["run"])
         digits = F.when(comes & ~move["digit"], end).otherwise(state["digits"])
-        hot = comes & (start >= 0) & (total < state["most"])
+        harmless = F.element_at(changed, ord(_MASK) + 1) > 0
+        hot = comes & (start >= 0) & (total < state["most"]) & ~harmless
         hot_hex = comes & (run <= start) & (digits > start) & (total < most_hex)
         in_hex = F.when(comes, hot_hex | (state["in_hex"] & move["hex"])).otherwise(state["in_hex"])
         to_run = comes & in_hex
