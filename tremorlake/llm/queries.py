@@ -10,13 +10,16 @@ from tremorlake.llm.bytepair import op7_byte_bpe
 from tremorlake.llm.common import ship
 from tremorlake.llm.fertility import op10_quality_rules
 from tremorlake.llm.lines import OP3_SQL, op3_line_dedup
+from tremorlake.llm.maxent import op11_maxent
 from tremorlake.llm.mixing import OP1_SQL, op1_mixing
 from tremorlake.llm.neighbours import op5_nearest
 from tremorlake.llm.quality import op6_quality
+from tremorlake.llm.resampling import op13_resampling
 from tremorlake.llm.secrets import op8_secrets
 from tremorlake.llm.simhash import op9_simhash
 from tremorlake.llm.substrings import OP2_SQL, op2_substring_dedup
 from tremorlake.llm.tokens import op4_token_counts
+from tremorlake.llm.whitening import op12_whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +45,9 @@ QUERIES: dict[str, Query] = {
         op8_secrets,
         op9_simhash,
         op10_quality_rules,
+        op11_maxent,
+        op12_whitening,
+        op13_resampling,
     )
 }
 
