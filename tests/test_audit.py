@@ -111,7 +111,7 @@ def test_failing_twice_is_only_logged(spark, place):
 
 
 def test_failed_silver_leaves_gold(spark, place, lines, monkeypatch):
-    """The save fails inside a task, after the former silver is gone."""
+    """The save fails inside a task."""
     from pyspark.sql import functions as F
 
     name, _ = place
@@ -140,3 +140,50 @@ def test_many_records_and_one_bad_row(spark, place):
     stored = [(row.function_name, row.process_record) for row in T.scan_table(spark, f"{name}.big").collect()]
     assert stored == [("many", 3_000_000_000)]
     assert U.audit_frame(spark, [good]).rdd.getNumPartitions() == 1
+
+
+def test_input_that_is_gone_when_it_is_written(spark, place, tmp_path):
+    """The staged files are there when the job looks for them and empty when they are read."""
+    from tremorlake.sources import layers as L
+
+    folder = tmp_path / "staged"
+    folder.mkdir()
+    (folder / "1.json").write_text(document(feature()))
+    documents = L.read_staged(spark, str(folder))
+    assert documents.count() == 1
+    gone = documents.filter("length(value) < 0")
+    result, rows = run(spark, place, gone)
+    assert not result.landed and {name: row.status for name, row in rows.items()} == dict.fromkeys(STAGES, "Failed")
+    assert rows["fetch"].error_msg == jobs.NO_DOCUMENT and rows["land"].error_msg == "No data to upload"
+
+
+def test_input_is_read_once(spark, place):
+    """Landing counts what it writes and looks at nothing before."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def looked(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    documents = spark.createDataFrame([(document(feature()),)] * 3, "value string").coalesce(1).mapInArrow(looked, "value string")
+    result, rows = run(spark, place, documents)
+    assert result.landed and rows["fetch"].process_record == rows["land"].process_record == 3
+    assert seen.value == 3
+
+
+def test_a_count_that_never_ran_fails_its_stage(spark, place):
+    from pyspark.sql import Observation
+
+    name, _ = place
+    U.ensure_audit_table(spark, f"{name}.a")
+    trail = U.AuditTrail(spark, f"{name}.a", 7)
+    with trail.stage("counted") as stage:
+        stage.records = 3
+    with trail.stage("planned") as stage:
+        stage.records = Observation()
+    trail.flush()
+    rows = {row.function_name: row for row in T.scan_table(spark, f"{name}.a").collect()}
+    assert (rows["counted"].status, rows["counted"].process_record) == ("Success", 3)
+    assert (rows["planned"].status, rows["planned"].process_record) == ("Failed", 0)
+    assert rows["planned"].error_msg.startswith(U.NOT_COUNTED)

@@ -5,6 +5,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tests.conftest import document, feature
 from tremorlake.operators import canonical as C
 from tremorlake.schemas import CANONICAL_GOLD, CANONICAL_SILVER
@@ -269,3 +271,70 @@ def test_gold_types_and_times(lines):
 def test_without_place(lines):
     frame = lines(json.dumps({"features": [feature()]}))
     assert "place" not in C.canonical_project(frame, include_place=False).columns
+
+
+@pytest.mark.parametrize("on_error", ["truncate", "skip"])
+def test_tagged_rows_are_the_projected_ones(lines, on_error):
+    bad = feature({"place": None})
+    odd = feature({"nst": "7", "alert": False})
+    frame = lines(
+        document(feature(), odd, bad, feature({"code": "z"})), "no json", document(), document(feature()), '{"entries": []}'
+    )
+    tagged = C.tagged_project(frame, on_error)
+    rows = tagged.filter("kind = 'row'").drop("kind", "lost")
+    assert sorted(map(str, rows.collect())) == sorted(map(str, C.canonical_project(frame, on_error).collect()))
+    lost = tagged.filter("kind <> 'row'")
+    assert lost.filter("event_code IS NULL AND magnitude IS NULL").count() == lost.count() == (4 if on_error == "truncate" else 3)
+
+
+def test_tagged_input_looks_at_a_line_once(lines):
+    text = C.tagged_project(lines(GOOD))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(StructField(documents") == 1
+    assert text.count("from_json(ArrayType(StructType(StructField(features") == 1
+    with pytest.raises(ValueError, match="on_error"):
+        C.tagged_input(lines(GOOD), "stop")
+
+
+def long_documents(lines):
+    """Three documents, two of them equal; bad features at the front, within and nowhere."""
+    bad = feature({"place": None})
+    long = [feature({"code": str(i), "nst": "7" if i % 3 else 7}) for i in range(700)]
+    cut = [*long[:650], bad, *long[650:], bad]
+    return lines(document(*cut), document(*long), document(*cut), document(bad, feature()), "no json", document())
+
+
+@pytest.mark.parametrize("cut_rows", [1_000_000, 0])
+def test_prefix_cut_over_tasks(spark, lines, tmp_path, monkeypatch, cut_rows):
+    """A document's features are on many tasks, and the rows are those of the truncate rule."""
+    monkeypatch.setattr(C, "CUT_ROWS", cut_rows)
+    monkeypatch.setattr(C, "CUT_BLOCK", 50)
+    frame = long_documents(lines)
+    landed = C.land_features(frame, str(tmp_path / "features"))
+    spread = spark.read.schema(landed.schema).parquet(str(tmp_path / "features")).repartition(7)
+    for features in (landed, spread):
+        rows = C.project_features(C.cut_features(features, str(tmp_path / "cuts")))
+        assert sorted(map(str, rows.collect())) == sorted(map(str, C.canonical_project(frame).collect()))
+    assert rows.count() == 650 + 700 + 650
+
+
+def test_prefix_cut_is_one_exchange_with_a_partial_step(lines, tmp_path):
+    landed = C.land_features(long_documents(lines), str(tmp_path / "features"))
+    text = C.first_bad_ordinals(landed)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "partial_min" in text
+    text = C.cut_features(landed, str(tmp_path / "cuts"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_a_large_document_is_read_by_many_tasks(spark, lines, tmp_path):
+    """After landing, files are split by size, not by document."""
+    landed = C.land_features(long_documents(lines).coalesce(1), str(tmp_path / "features"))
+    rows = landed.select("document", "ordinal", F.to_json("feature").alias("feature"))
+    rows.write.option("parquet.block.size", 4096).parquet(str(tmp_path / "small"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        read = spark.read.parquet(str(tmp_path / "small"))
+        places = read.select("document", F.spark_partition_id().alias("task")).distinct()
+        assert places.groupBy("document").count().agg(F.max("count")).first()[0] > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tremorlake.schemas import AUDIT
+from tremorlake.sources.commits import RECORDS
 from tremorlake.sources.layers import memory_frame
-from tremorlake.sources.tables import append_by_name, ensure_table
+from tremorlake.sources.tables import KEEP, append_by_name, compact, ensure_table
 
 log = logging.getLogger(__name__)
 
@@ -29,10 +30,9 @@ FAILED = "Failed"
 DEFAULT_PIPELINE = "DataPipeline"
 NO_DATA = "No data to upload"
 NO_FRAME = "Transformed DataFrame is None"
+NOT_COUNTED = "no count of this stage"
 ERROR_SEPARATOR = "; "
 
-RECORDS = "records"
-
 
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
@@ -88,6 +88,11 @@ def append_audit(spark: SparkSession, table: str, rows: Sequence[tuple]) -> None
     append_by_name(audit_frame(spark, rows), table, AUDIT)
 
 
+def compact_audit(spark: SparkSession, table: str, keep: dt.timedelta = KEEP) -> int:
+    """Turn the small files of many flushes into one file a month; the number of files."""
+    return compact(spark, table, "start_time", keep)
+
+
 @dataclass
 class Stage:
     """What is known about a stage; the body of the stage fills in `records`."""
@@ -102,11 +107,13 @@ class Stage:
         self.error = self.error or error
 
     def count(self) -> int:
-        if self.error is not None:
-            return 0
-        if isinstance(self.records, Observation):
-            return observed_count(self.records)
-        return self.records
+        """The records; a count whose action never ran makes the stage a failed one."""
+        if self.error is None and isinstance(self.records, Observation):
+            try:
+                return observed_count(self.records)
+            except Exception as error:
+                self.fail(f"{NOT_COUNTED}: {error}")
+        return 0 if self.error is not None else self.records
 
 
 @dataclass
@@ -161,6 +168,7 @@ class AuditTrail:
             self._append_with_retry([self._row(stage) for stage in stages])
 
     def _row(self, stage: Stage) -> tuple:
+        records = stage.count()
         return audit_row(
             self.job_id,
             self.pipeline_name,
@@ -169,7 +177,7 @@ class AuditTrail:
             stage.end_time or self.clock(),
             FAILED if stage.error is not None else SUCCESS,
             stage.error,
-            stage.count(),
+            records,
         )
 
     def _append_with_retry(self, rows: list[tuple]) -> None:

@@ -39,10 +39,18 @@ from tremorlake.schemas import (
     EPOCH_COLUMNS,
     without,
 )
+from tremorlake.sources import commits
+from tremorlake.sources.layers import DOCUMENT_KIND, FEATURE_KIND, ROW_KIND
 
 SILVER_TAG = "silver"
 WAREHOUSE_TAG = "bq"
 
+
+# So many cuts, of two numbers each, are broadcast; about 10 MB.
+CUT_ROWS = 250_000
+# Ordinals of a block, if there are more.
+CUT_BLOCK = 1024
+
 _MISTYPED = "mistyped"
 # NaN and Infinity are no JSON. The typed read refuses them as the exact one does,
 # so a document with one is rejected whatever its other leaves are.
@@ -250,27 +258,60 @@ def screen_documents(lines: DataFrame) -> DataFrame:
     return _screened(lines).selectExpr("CASE WHEN odd THEN value END AS value", "typed", "odd")
 
 
-def lost_input(lines: DataFrame, on_error: str = "truncate") -> DataFrame:
-    """What the error rule drops: `kind` (document or feature) and its text.
+def tagged_input(lines: DataFrame, on_error: str = "truncate", spread: int | None = None) -> DataFrame:
+    """All that a load makes of its lines, out of one look at each line.
 
-    A document is lost as a whole if it is no JSON or has no feature list. Only odd
-    lines are parsed a second time, as for the rows.
+    One row per good feature (`kind` is row, `feature` is typed), per document that is lost
+    as a whole because it is no JSON or has no feature list (document, its text in `lost`),
+    and per feature the error rule drops (feature, its text in `lost`).
     """
     looked = parse_documents(
         _screened(lines).selectExpr("CASE WHEN odd THEN value END AS value", "value AS line", "typed", "odd")
     )
     bad = is_bad_feature("feature")
     if on_error == "skip":
-        gone = f"filter(features, feature -> {bad})"
-    else:
+        kept, gone = f"filter(features, feature -> NOT ({bad}))", f"filter(features, feature -> {bad})"
+    elif on_error == "truncate":
         first = f"CAST(array_position(transform(features, feature -> {bad}), true) AS int)"
         looked = looked.selectExpr("*", f"{first} AS first_bad")
+        kept = "CASE WHEN first_bad > 0 THEN slice(features, 1, first_bad - 1) ELSE features END"
         gone = "CASE WHEN first_bad > 0 THEN slice(features, first_bad, array_size(features)) ELSE array() END"
-    rejected = "CASE WHEN odd THEN features IS NULL ELSE typed IS NULL END"
-    lost = f"""CASE WHEN {rejected} THEN array(struct('document' AS kind, line AS value))
-        WHEN odd THEN transform({gone}, feature -> struct('feature' AS kind, to_json(feature) AS value))
-        ELSE array() END"""
-    return looked.select(F.explode(F.expr(lost)).alias("lost")).select("lost.*")
+    else:
+        raise ValueError(f"on_error must be 'truncate' or 'skip', not {on_error!r}")
+    parted = looked.selectExpr(
+        "CASE WHEN odd THEN features IS NULL ELSE typed IS NULL END AS rejected",
+        "line",
+        "typed",
+        "odd",
+        f"CASE WHEN odd THEN {kept} END AS kept",
+        f"CASE WHEN odd THEN {gone} END AS gone",
+    )
+    good = f"CASE WHEN odd THEN {_exact_features('kept')} ELSE typed END"
+    items = f"""CASE WHEN rejected THEN array(named_struct('kind', '{DOCUMENT_KIND}', 'feature', CAST(NULL AS {_FEATURE.simpleString()}), 'lost', line))
+        ELSE concat(
+            transform({good}, feature -> named_struct('kind', '{ROW_KIND}', 'feature', feature, 'lost', CAST(NULL AS string))),
+            transform(coalesce(gone, array()), feature -> named_struct(
+                'kind', '{FEATURE_KIND}', 'feature', CAST(NULL AS {_FEATURE.simpleString()}), 'lost', to_json(feature)))) END"""
+    rows = parted.select(F.explode_outer(F.expr(items)).alias("item")).filter("item IS NOT NULL").select("item.*")
+    return rows.repartition(spread) if spread else rows
+
+
+def lost_input(lines: DataFrame, on_error: str = "truncate") -> DataFrame:
+    """What the error rule drops: `kind` (document or feature) and its text `value`."""
+    lost = tagged_input(lines, on_error).filter(F.col("kind") != ROW_KIND)
+    return lost.select("kind", F.col("lost").alias("value"))
+
+
+def tagged_project(
+    lines: DataFrame, on_error: str = "truncate", include_place: bool = True, spread: int | None = None
+) -> DataFrame:
+    """Canonical rows and what was lost on the way, told apart by `kind`.
+
+    The columns of a row are null where something was lost, and `lost` is null in a row.
+    """
+    is_row = F.col("kind") == ROW_KIND
+    columns = [F.when(is_row, canonical_column(field)).alias(field.name) for field in silver_schema(include_place).fields]
+    return tagged_input(lines, on_error, spread).select("kind", *columns, "lost")
 
 
 def canonical_features(lines: DataFrame, on_error: str = "truncate", spread: int | None = None) -> DataFrame:
@@ -289,6 +330,62 @@ def canonical_features(lines: DataFrame, on_error: str = "truncate", spread: int
     return rows.repartition(spread) if spread else rows
 
 
+# --- a document over many tasks ------------------------------------------------------
+
+
+def land_features(lines: DataFrame, path: str) -> DataFrame:
+    """Store the features of all documents, one a row, and read them back.
+
+    `document` tells documents apart (also equal ones), `ordinal` is the place of a feature
+    in its document from 0, `feature` its value. A line is read by one task here; from then
+    on its features are rows like any others, in files that are split by size. Documents
+    that are no JSON or have no feature list have no row.
+    """
+    numbered = accepted_documents(lines).withColumn("document", F.monotonically_increasing_id())
+    rows = numbered.select("document", F.posexplode("features").alias("at", "feature"))
+    rows = rows.select("document", F.col("at").cast("long").alias("ordinal"), "feature")
+    commits.write_complete(rows, path, lambda df, to: df.write.parquet(to))
+    return lines.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def first_bad_ordinals(landed: DataFrame) -> DataFrame:
+    """`document`, `first_bad` and `last` ordinal of each document that has a bad feature.
+
+    One exchange; before it every task has at most one row per document.
+    """
+    bad = F.when(F.expr(is_bad_feature("feature")), F.col("ordinal"))
+    found = landed.groupBy("document").agg(F.min(bad).alias("first_bad"), F.max("ordinal").alias("last"))
+    return found.filter("first_bad IS NOT NULL")
+
+
+def cut_features(landed: DataFrame, path: str) -> DataFrame:
+    """The features before the first bad one of their document.
+
+    The cuts are written to the path. Up to `CUT_ROWS` of them go to every task. More are
+    joined by document and block of ordinals, and a document has a cut in each block from
+    its first bad feature on; so the rows of one document stay spread over the tasks.
+    """
+    cuts = first_bad_ordinals(landed)
+    n_cuts = commits.write_complete(cuts, path, lambda df, to: df.write.parquet(to))
+    cuts = landed.sparkSession.read.schema(cuts.schema).parquet(path)
+    if n_cuts <= CUT_ROWS:
+        cuts = F.broadcast(cuts.select(F.col("document").alias("cut"), "first_bad"))
+        same = F.col("document") == F.col("cut")
+    else:
+        first, last = F.floor(F.col("first_bad") / CUT_BLOCK), F.floor(F.col("last") / CUT_BLOCK)
+        cuts = cuts.select(F.col("document").alias("cut"), "first_bad", F.explode(F.sequence(first, last)).alias("block"))
+        same = (F.col("document") == F.col("cut")) & (F.floor(F.col("ordinal") / CUT_BLOCK) == F.col("block"))
+    kept = landed.join(cuts, same, "left").filter("first_bad IS NULL OR ordinal < first_bad")
+    return kept.select("document", "ordinal", "feature")
+
+
+def project_features(features: DataFrame, include_place: bool = True) -> DataFrame:
+    """Canonical rows of features that are rows of their own; all must be good ones."""
+    exact = _exact_features("array(feature)")
+    rows = features.select(F.expr(f"get({exact}, 0)").alias("feature"))
+    return rows.select([canonical_column(field) for field in silver_schema(include_place).fields])
+
+
 # --- rows ------------------------------------------------------------------------
 
 

@@ -1,7 +1,6 @@
 """Batch jobs: compositions of sources, operators and sinks a user submits.
 
-Each layer is written by one action; landing first looks if there is a document,
-and a canonical load writes its quarantine too. A job takes the staged documents as a frame
+Each layer is written by one action, which counts what it writes. A job takes the staged documents as a frame
 with one text column `value` (see `read_staged`).
 """
 
@@ -27,6 +26,7 @@ from tremorlake.schemas import AUDITED, NULLABLE
 from tremorlake.sources import layers as L
 from tremorlake.sources import tables as T
 
+NO_DOCUMENT = "no document staged"
 NO_SILVER = "this run has saved no silver"
 TRUNCATE = "truncate"
 APPEND = "append"
@@ -49,12 +49,12 @@ class LoadResult:
     lost_features: int = 0
 
 
-def _load_gold(silver: DataFrame, table: str, schema: StructType, disposition: str) -> None:
+def _load_gold(silver: DataFrame, table: str, schema: StructType, disposition: str, load_id: str | None = None) -> None:
     T.ensure_namespace_of(silver.sparkSession, table)
     if disposition == TRUNCATE:
         T.truncate_and_load(silver, table, schema)
     elif disposition == APPEND:
-        T.append_by_name(silver, table, schema)
+        T.append_by_name(silver, table, schema, load_id)
     else:
         raise ValueError(f"unknown write disposition {disposition!r}")
 
@@ -68,11 +68,13 @@ def nullable_load(
     disposition: str = TRUNCATE,
     as_of: dt.datetime | None = None,
     spread: int | None = None,
+    load_id: str | None = None,
 ) -> LoadResult:
     """Land, flatten, transform, write silver and load gold under nullable rules.
 
     Without a new document the load goes on with the bronze of that date, if
     there is one. `spread` deals the rows of large documents over that many tasks.
+    An append under a `load_id` may be run again, see `append_by_name`.
     """
     spark = documents.sparkSession
     paths = L.Layers(root, "nullable", feed, run_date)
@@ -80,7 +82,7 @@ def nullable_load(
     flat = nullable.flatten(L.read_bronze_json(spark, paths.bronze))
     flat = flat.repartition(spread) if spread else flat
     L.write_silver(nullable.transform_columns(flat, as_of), paths.silver)
-    _load_gold(L.read_silver(spark, paths.silver, NULLABLE), table, NULLABLE, disposition)
+    _load_gold(L.read_silver(spark, paths.silver, NULLABLE), table, NULLABLE, disposition, load_id)
     return LoadResult(landed, paths.bronze, paths.silver, table)
 
 
@@ -97,7 +99,7 @@ def daily_load(documents: DataFrame, root: str, run_date: dt.date, table: str, *
 def append_load(
     documents: DataFrame, root: str, feed: str, run_date: dt.date, table: str, **options
 ) -> LoadResult:
-    """The nullable load, adding to the table."""
+    """The nullable load, adding to the table; `load_id` makes it repeatable."""
     return nullable_load(documents, root, feed, run_date, table, disposition=APPEND, **options)
 
 
@@ -112,34 +114,35 @@ def canonical_load(
     n_files: int | None = None,
     as_of: dt.datetime | None = None,
     spread: int | None = None,
+    load_id: str | None = None,
 ) -> LoadResult:
     """Land, project, write silver and append gold under canonical rules.
 
-    Without `place` the rows still go into a table that has the column. What the
-    error rule drops goes to the quarantine and is counted as it is written.
-    `spread` deals the rows of large documents over that many tasks.
+    Without `place` the rows still go into a table that has the column. A line is looked at
+    once: one action writes the rows to silver and what the error rule drops to the
+    quarantine, and counts both. `spread` deals the rows of large documents over that many
+    tasks. A load under a `load_id` may be run again, see `append_by_name`.
     """
     spark = documents.sparkSession
     paths = L.Layers(root, "canonical", feed, run_date)
     landed = L.land_bronze(documents, paths.bronze)
 
     lines = L.read_bronze_text(spark, paths.bronze)
-    dropped = Observation()
-    lost = canonical.lost_input(lines, on_error).observe(
-        dropped, *(F.count(F.when(F.col("kind") == kind, 1)).alias(kind) for kind in ("document", "feature"))
-    )
-    lost.write.mode("overwrite").parquet(paths.quarantine)
-    projected = canonical.canonical_project(lines, on_error, include_place, spread)
     schema = canonical.silver_schema(include_place)
-    outputs = canonical.split_outputs(projected)
-    L.write_silver_typed(outputs[canonical.SILVER_TAG], paths.silver, schema, n_files)
+    tagged = canonical.tagged_project(lines, on_error, include_place, spread)
+    counts = L.write_tagged(tagged, schema, paths.silver, paths.quarantine, n_files)
 
     silver = L.read_silver(spark, paths.silver, schema)
     gold = canonical.gold_project(silver, as_of, include_place)
-    _load_gold(gold, table, canonical.gold_schema(), APPEND)
-    counts = dropped.get
+    _load_gold(gold, table, canonical.gold_schema(), APPEND, load_id)
     return LoadResult(
-        landed, paths.bronze, paths.silver, table, paths.quarantine, counts["document"], counts["feature"]
+        landed,
+        paths.bronze,
+        paths.silver,
+        table,
+        paths.quarantine,
+        counts[L.DOCUMENT_KIND],
+        counts[L.FEATURE_KIND],
     )
 
 
@@ -180,23 +183,28 @@ def audited_load(
 def _audited_landing(
     trail: AuditTrail, spark: SparkSession, documents: DataFrame | str, paths: L.Layers
 ) -> bool:
-    """Fetch and land. Both count documents, observed while they are written."""
+    """Fetch and land. Both count documents, observed while they are written.
+
+    The input is looked at once, by that write: if it has no document then, there was
+    nothing to fetch and nothing to land.
+    """
     counted = Observation()
     staged, landed = None, False
-    with trail.stage("fetch") as stage:
-        frame = L.read_staged(spark, documents) if isinstance(documents, str) else documents
-        if frame.isEmpty():
-            raise ValueError("no document staged")
-        staged, stage.records = frame, counted
+    with trail.stage("fetch") as fetch:
+        staged = L.read_staged(spark, documents) if isinstance(documents, str) else documents
+        fetch.records = counted
     with trail.stage("land") as stage:
         if staged is None:
             raise ValueError(NO_DATA)
-        stage.records = counted
         try:
             landed = L.land_bronze(staged, paths.bronze, counted)
         except Exception as error:
             trail.fail_pending(str(error))
             raise
+        if not landed:
+            fetch.fail(NO_DOCUMENT)
+            raise ValueError(NO_DATA)
+        stage.records = counted
     trail.flush()
     return landed
 

@@ -5,16 +5,35 @@ magnitude per day and area. So the table is scanned once for that summary, the
 summary is written to the shared scratch folder, and the questions run over
 it. Only the list of strong events scans the table again, for two columns and
 with its filter pushed down.
+
+Counts, sums and maxima of parts merge into those of the whole. So a table that
+grows by loads needs no second scan: each load leaves its states, by day, and
+the summary is what they merge to.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tremorlake.operators import analytics as A
+from tremorlake.sources import commits
+
+DAY, LOAD = "date", "load"
+STATES = (
+    StructType()
+    .add("area", "string")
+    .add("events", "long")
+    .add("measured", "long")
+    .add("mag_sum", "double")
+    .add("mag_max", "float")
+    .add(DAY, "date")
+    .add(LOAD, "string")
+)
+
 
 def day_area_summary(gold: DataFrame, date_col: str = "updated") -> DataFrame:
     dated = A.with_event_date(gold, date_col)
@@ -33,6 +52,36 @@ def stored_summary(gold: DataFrame, path: str, date_col: str = "updated") -> Dat
     return gold.sparkSession.read.schema(summary.schema).parquet(path)
 
 
+def store_load_states(rows: DataFrame, path: str, load_id: str, date_col: str = "updated") -> None:
+    """The states of one load, by day and area, below the path.
+
+    Only the rows of the load are scanned, and only its days are written. A load that is
+    run again under its id replaces its states, so they count once.
+    """
+    states = day_area_summary(rows, date_col)
+    folder = f"{path.rstrip('/')}/{LOAD}={load_id}"
+    commits.write_complete(states, folder, lambda df, to: df.write.partitionBy(DAY).parquet(to))
+
+
+def merged_summary(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """The day and area summary of all loads below the path; of the days from `since` on, if given.
+
+    Folders of other days are not read. One exchange, with a partial step.
+    """
+    loads = commits.Folder(spark, f"{path.rstrip('/')}/{LOAD}=*").matches()
+    for load in loads:
+        commits.manifest_of(spark, load.path)
+    states = spark.read.schema(STATES).option("basePath", path).parquet(*(load.path for load in loads))
+    states = states if since is None else states.filter(F.col(DAY) >= F.lit(since))
+    merged = states.groupBy(DAY, "area").agg(
+        F.sum("events").alias("events"),
+        F.sum("measured").alias("measured"),
+        F.sum("mag_sum").alias("mag_sum"),
+        F.max("mag_max").alias("mag_max"),
+    )
+    return merged
+
+
 def report(
     gold: DataFrame, summary: DataFrame, as_of: dt.date | None = None
 ) -> dict[str, DataFrame]:

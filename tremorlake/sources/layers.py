@@ -3,21 +3,32 @@
 from __future__ import annotations
 
 import datetime as dt
+import posixpath
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tremorlake.operators.shape import conform_schema
 from tremorlake.schemas import BRONZE
+from tremorlake.sources import commits
 
 # Names that make up a dated path.
 BRONZE_NAME = "raw_data.json"
 SILVER_NAME = "transformed_data"
 QUARANTINE_NAME = "lost_input"
 RUN_DATE_FORMAT = "%Y%m%d"
+PARQUET_FILES = "*.parquet"
+
+# What a load makes of its input, and the columns that tell it.
+ROW_KIND = "row"
+DOCUMENT_KIND = "document"
+FEATURE_KIND = "feature"
+LOST_KINDS = (DOCUMENT_KIND, FEATURE_KIND)
+KIND = StructField("kind", StringType())
+LOST = StructField("lost", StringType())
 
 
 def dated_path(root: str, layer: str, flavour: str, feed: str, run_date: dt.date, name: str) -> str:
@@ -72,15 +83,11 @@ def one_line(document: Column | str) -> Column:
 def land_bronze(documents: DataFrame, path: str, observation: Observation | None = None) -> bool:
     """Store raw documents (column `value`), one line each, in place of what is there.
 
-    Without any document nothing is written and the result is False.
+    The documents are read once: they are counted, as `records` of the observation, while
+    they are written. Without any document nothing is stored and the result is False.
     """
-    if documents.isEmpty():
-        return False
     lines = documents.select(one_line("value").alias("value"))
-    if observation is not None:
-        lines = lines.observe(observation, F.count(F.lit(1)).alias("records"))
-    lines.write.mode("overwrite").text(path)
-    return True
+    return commits.write_complete(lines, path, lambda df, to: df.write.text(to), observation, keep_empty=False) > 0
 
 
 def read_bronze_text(spark: SparkSession, path: str, wholetext: bool = False) -> DataFrame:
@@ -98,8 +105,11 @@ def read_bronze_json(spark: SparkSession, path: str, schema: StructType = BRONZE
 
 
 def write_silver(df: DataFrame, path: str) -> str:
-    """Replace the dated Parquet directory and return its path."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the dated Parquet directory and return its path.
+
+    If the write fails, the directory is as it was.
+    """
+    commits.write_complete(df, path, lambda rows, to: rows.write.parquet(to))
     return path
 
 
@@ -117,15 +127,57 @@ def write_silver_typed(
     return write_silver(typed, path)
 
 
+def write_tagged(
+    tagged: DataFrame, schema: StructType, silver: str, quarantine: str, n_files: int | None = None
+) -> dict[str, int]:
+    """Write rows to silver and what was lost to the quarantine, in one action; rows by kind.
+
+    The frame has `kind`, the columns of the schema and `lost`. It is written once, a folder
+    for each kind, and then the folders are moved into place; if the write fails, both
+    places are as they were. `n_files` is as for `write_silver_typed`, for each kind.
+    """
+    spark = tagged.sparkSession
+    rows = conform_schema(tagged, StructType([KIND, *schema.fields, LOST]))
+    rows = rows if n_files is None else rows.coalesce(n_files)
+    target, lost = commits.Folder(spark, silver), commits.Folder(spark, quarantine)
+    side, counted = target.beside("side"), Observation()
+    kinds = [ROW_KIND, *LOST_KINDS]
+    by_kind = [F.count(F.when(F.col(KIND.name) == kind, 1)).alias(kind) for kind in kinds]
+    try:
+        rows.observe(counted, *by_kind).write.partitionBy(KIND.name).parquet(side.path)
+        counts = {kind: counted.get[kind] for kind in kinds}
+        good = target.beside("rows")
+        if counts[ROW_KIND]:
+            side.below(f"{KIND.name}={ROW_KIND}").rename(good)
+        else:  # no row, no folder: an empty one has a file for its schema
+            spark.createDataFrame([], schema).coalesce(1).write.parquet(good.path)
+        commits.seal(good, counts[ROW_KIND])
+        commits.seal(side, sum(counts[kind] for kind in LOST_KINDS))
+    except Exception:
+        side.delete()
+        raise
+    commits.publish(side, lost)
+    commits.publish(good, target)
+    return counts
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """What a load has lost: `kind` (document or feature) and its text `value`."""
+    commits.manifest_of(spark, path)
+    lost = spark.read.schema(StructType([LOST, KIND])).parquet(path)
+    return lost.select(KIND.name, F.col(LOST.name).alias("value"))
+
+
 def read_silver(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Silver Parquet with the declared schema; the path may hold a glob.
 
-    A folder without a data file is what a failed write leaves, not an empty table.
+    Each folder must have the manifest of a finished write. A folder without one is what a
+    failed write leaves, not an empty table.
     """
-    silver = spark.read.schema(schema).parquet(path)
-    if not silver.inputFiles():
-        raise FileNotFoundError(f"no silver file in {path}")
-    return silver
+    folder = posixpath.dirname(path) if path.endswith(PARQUET_FILES) else path
+    for found in commits.Folder(spark, folder).matches() or [commits.Folder(spark, folder)]:
+        commits.manifest_of(spark, found.path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def memory_frame(spark: SparkSession, rows: Iterable[Sequence], schema: StructType | str) -> DataFrame:

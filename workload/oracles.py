@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DataType, FloatType, IntegerType, StructType
+from pyspark.sql.types import DataType, FloatType, IntegerType, StringType, StructType
 
 from tremorlake.schemas import (
     AUDITED,
@@ -220,12 +220,39 @@ def rough_columns() -> str:
     return ", ".join(columns)
 
 
+def json_leaf(name: str, expression: str) -> str:
+    """A field of a feature as JSON text; a null is written as null."""
+    texts = {field.name for field in PROPERTIES.fields if isinstance(field.dataType, StringType)} | {"type"}
+    shown = f"CAST({expression} AS VARCHAR)"
+    if name in texts and name not in MOMENTS:
+        shown = f"'\"' || {shown} || '\"'"
+    return f"'\"{name}\":' || coalesce({shown}, 'null')"
+
+
+def _line_hashes() -> str:
+    """Hashes of the landed lines: the whole text of each document, rebuilt from its events."""
+    fields = {**feed.EXPRESSIONS, **{name: millis(moment) for name, moment in MOMENTS.items()}}
+    properties = " || ',' || ".join(json_leaf(name, expression) for name, expression in fields.items())
+    position = " || ',' || ".join(f"CAST({feed.POSITION[name]} AS VARCHAR)" for name in COORDINATES)
+    feature = f"""'{{"type":"Feature","properties":{{' || {properties} ||
+    '}},"geometry":{{"type":"Point","coordinates":[' || {position} || ']}},"id":"' || event_id || '"}}'"""
+    return f"""
+WITH feature AS (
+  SELECT CAST(ts AS DATE) AS feed_day, event_id // {feed.BLOCK} AS block, event_id, {feature} AS text FROM events
+), line AS (
+  SELECT '{{"type":"FeatureCollection", "metadata":{{"generated":' || {millis("CAST(feed_day AS TIMESTAMP)")} ||
+    ',"url":"https://feed.example/day","title":"Events of a day","status":200,"api":"1","count":' || count(*) ||
+    '}}, "features":[ ' || string_agg(text, ', ' ORDER BY event_id) || ' ]}}' AS text
+  FROM feature GROUP BY feed_day, block
+)
+SELECT sha256(text) AS line_sha256, false AS landed_without_data FROM line"""
+
+
+LINE_HASHES = _line_hashes()
+
 ORACLES: dict[str, str] = {
     # sources and sinks
-    "bronze_land": f"""
-SELECT count(*) AS documents, CAST(sum(features) AS BIGINT) AS features,
-       count(*) AS whole_lines, false AS landed_without_data
-FROM ({DOCUMENTS})""",
+    "bronze_land": LINE_HASHES,
     "bronze_read_text": f"""
 SELECT {millis("CAST(feed_day AS TIMESTAMP)")} AS generated, features AS declared FROM ({DOCUMENTS})""",
     "bronze_read_json": f"""
@@ -237,7 +264,9 @@ FROM ({DOCUMENTS})""",
     "silver_write_single": CANONICAL_ROWS,
     "silver_read": f"SELECT code, mag, sig, nst, felt, time, area FROM ({NULLABLE_ROWS})",
     "gold_append": f"{GOLD_ROWS} UNION ALL {GOLD_ROWS}",
+    "gold_append_repeatable": " UNION ALL ".join(f"SELECT *, '{day}' AS load_id FROM ({GOLD_ROWS})" for day in ("20240129", "20240130")),
     "gold_truncate_load": NULLABLE_ROWS,
+    "gold_new_columns": NULLABLE_ROWS,
     "ensure_namespace": "SELECT true AS namespace_exists, count(*) AS stored FROM events",
     "ensure_table": audit_rows("count"),
     "table_scan": f"SELECT code, area, mag, updated FROM ({NULLABLE_ROWS})",
@@ -311,6 +340,7 @@ FROM (
   FROM ({DOCUMENTS})
 ) GROUP BY 1""",
     "truncate_at_bad_feature": f"{ROUGH} SELECT {rough_columns()} FROM kept",
+    "truncate_over_tasks": f"{ROUGH} SELECT {rough_columns()} FROM kept",
     "skip_bad_feature": f"{ROUGH} SELECT {ROUGH_CODE}, {ROUGH_TIME} FROM readable WHERE NOT bad",
     "job_canonical_quarantine": f"""{ROUGH}, lost AS (
   SELECT 'feature' AS kind, CAST(event_id AS VARCHAR) AS code
@@ -370,6 +400,10 @@ SELECT job_id, pipeline_name, function_name, '2024-01-30 12:00:00.000' AS start_
        '2024-01-30 12:00:00.000' AS end_time, status, error_msg, process_record
 FROM ({audit_rows("flatten")})""",
     "audit_append": audit_rows("read", "flatten"),
+    "audit_compaction": """
+SELECT '101' AS job_id, 'DataPipeline' AS pipeline_name, event_type AS function_name, 'Success' AS status,
+       CAST(NULL AS VARCHAR) AS error_msg, CAST(count(*) AS BIGINT) AS process_record, CAST(1 AS BIGINT) AS files
+FROM events GROUP BY event_type""",
     "audited_stage": two_stages("CAST(NULL AS VARCHAR)", "'refused'"),
     "stage_row_counts": f"""
 WITH document AS ({DOCUMENTS})
@@ -422,4 +456,4 @@ def _report() -> str:
     return " UNION ALL ".join(parts)
 
 
-ORACLES["job_report"] = _report()
+ORACLES["job_report"] = ORACLES["job_report_incremental"] = _report()

@@ -91,15 +91,13 @@ def rough_rows(s: Store, **options) -> DataFrame:
 
 @query("bronze_land")
 def _(s: Store) -> DataFrame:
+    """The line of each staged file, and whether landing without a file stores something."""
     path = s.fresh("landed")
-    L.land_bronze(s.staged(), path)
-    without_data = L.land_bronze(s.staged().filter(F.lit(False)), s.fresh("not_landed"))
-    lines = L.read_bronze_text(s.spark, path)
-    return lines.agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum(F.regexp_count("value", F.lit('"type":"Feature"'))).cast("bigint").alias("features"),
-        F.count_if(F.col("value").startswith('{"type"')).alias("whole_lines"),
-        F.lit(without_data).alias("landed_without_data"),
+    staged = L.read_staged(s.spark, s.staged_files())
+    L.land_bronze(staged, path)
+    without_data = L.land_bronze(staged.filter("length(value) < 0"), s.fresh("not_landed"))
+    return L.read_bronze_text(s.spark, path).select(
+        F.sha2(F.rtrim("value"), 256).alias("line_sha256"), F.lit(without_data).alias("landed_without_data")
     )
 
 
@@ -151,6 +149,27 @@ def _(s: Store) -> DataFrame:
     return T.scan_table(s.spark, table)
 
 
+@query("gold_append_repeatable")
+def _(s: Store) -> DataFrame:
+    """Two loads, one of them run twice under its id."""
+    table = s.fresh_table("repeatable")
+    gold = C.gold_project(canonical_rows(s))
+    for load_id in ("20240129", "20240130", "20240130"):
+        T.append_by_name(gold, table, CANONICAL_GOLD, load_id=load_id)
+    return T.scan_table(s.spark, table)
+
+
+@query("gold_new_columns")
+def _(s: Store) -> DataFrame:
+    """A table that is loaded with other columns than it had."""
+    table = s.fresh_table("renewed")
+    silver = L.read_silver(s.spark, s.silver(), NULLABLE)
+    fewer = StructType([field for field in NULLABLE.fields if field.name != "place"])
+    for schema in (fewer, NULLABLE):
+        T.truncate_and_load(silver, table, schema)
+    return T.scan_table(s.spark, table)
+
+
 @query("gold_truncate_load")
 def _(s: Store) -> DataFrame:
     table = s.fresh_table("replaced")
@@ -413,6 +432,13 @@ def _(s: Store) -> DataFrame:
     return rough_rows(s)
 
 
+@query("truncate_over_tasks")
+def _(s: Store) -> DataFrame:
+    """The same rows, with the features of a document on many tasks."""
+    landed = C.land_features(s.lines(rough=True), s.fresh("features"))
+    return C.project_features(C.cut_features(landed, s.fresh("cuts")))
+
+
 @query("skip_bad_feature")
 def _(s: Store) -> DataFrame:
     return rough_rows(s, on_error="skip").select("event_code", "event_time")
@@ -592,6 +618,19 @@ def _(s: Store) -> DataFrame:
     )
 
 
+@query("audit_compaction")
+def _(s: Store) -> DataFrame:
+    """Many flushes, one audit row for each type of event, in one file a month."""
+    table = s.fresh_table("audit")
+    U.ensure_audit_table(s.spark, table)
+    counts = s.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).orderBy("event_type").collect()
+    for row in counts:
+        stage = U.audit_row(JOB_ID, U.DEFAULT_PIPELINE, row.event_type, RUN_INSTANT, RUN_INSTANT, U.SUCCESS, None, row.n)
+        U.append_audit(s.spark, table, [stage])
+    n_files = U.compact_audit(s.spark, table)
+    return T.scan_table(s.spark, table).select(*AUDIT_FACTS, F.lit(n_files).cast("bigint").alias("files"))
+
+
 # --- jobs ------------------------------------------------------------------------------
 
 
@@ -622,7 +661,7 @@ def _(s: Store) -> DataFrame:
     result = jobs.canonical_load(
         s.staged(rough=True), s.fresh("lake"), "daily", RUN_DATE, s.fresh_table("gold"), spread=8
     )
-    return s.spark.read.parquet(result.quarantine).select(
+    return L.read_quarantine(s.spark, result.quarantine).select(
         "kind",
         F.get_json_object("value", "$.id").alias("code"),
         F.lit(result.lost_documents).cast("bigint").alias("lost_documents"),
@@ -660,6 +699,17 @@ def _(s: Store) -> DataFrame:
     return one_frame(answers)
 
 
+@query("job_report_incremental")
+def _(s: Store) -> DataFrame:
+    """The report out of the states of two loads, the second one stored twice."""
+    gold = T.scan_table(s.spark, s.gold())
+    first = F.col("code").cast("bigint") % 3 == 0
+    path = s.fresh("states")
+    for load_id, rows in (("a", gold.filter(first)), ("b", gold.filter(~first)), ("b", gold.filter(~first))):
+        R.store_load_states(rows, path, load_id)
+    return one_frame(R.report(gold, R.merged_summary(s.spark, path), AS_OF))
+
+
 def one_frame(answers: dict[str, DataFrame]) -> DataFrame:
     """All answers below each other: the question, its keys, and up to two numbers."""
     result = None

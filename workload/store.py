@@ -68,6 +68,14 @@ class Store:
             self._done[key] = path
         return self.spark.read.schema("value string").parquet(self._done[key])
 
+    def staged_files(self) -> str:
+        """Path of the raw documents as text files, one each."""
+        if "staged_files" not in self._done:
+            path = self.fresh("staged_files")
+            self.staged().write.option("maxRecordsPerFile", 1).text(path)
+            self._done["staged_files"] = path
+        return self._done["staged_files"]
+
     def bronze(self, rough: bool = False, faults: bool = True) -> str:
         """Path of the landed documents."""
         key = _feed_name(rough, faults) + "bronze"
