@@ -35,7 +35,7 @@ RATE = 0.3
 FOLDS = 5
 HELD_OUT = 1
 # A word of more than one in so many tokens is sent to all tasks: so there are fewer of them.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 # Unless it is longer than this.
 FREQUENT_BYTES = 64
 
@@ -243,23 +243,48 @@ class Reader:
 
 
 def _biases(model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Logs of the smoothed counts of classes, and of the members of each class."""
+    """Logs of the smoothed shares of classes, and of the members of each class."""
     mass = np.maximum(model.vocabulary.mass, 1e-6).reshape(-1, model.members.shape[1])
-    return np.log(mass.sum(1)).astype(np.float32), np.log(mass).astype(np.float32)
-
-
-def _softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Probabilities of a block of tokens (columns of rows), in slices that fit the cache."""
-    found = np.empty((rows.shape[1], weights.shape[1]), np.float32)
-    for low in range(0, len(found), _SLICE):
-        part = slice(low, low + _SLICE)
-        logits = weights.take(rows[0, part], axis=0)
-        for of_feature in rows[1:, part]:
-            logits += weights.take(of_feature, axis=0)
-        logits += bias[part] if len(bias) > 1 else bias
-        logits -= logits.max(1, keepdims=True)
+    of_class = mass.sum(1, keepdims=True)
+    return np.log(of_class[:, 0] / of_class.sum()).astype(np.float32)[None], np.log(mass / of_class).astype(np.float32)
+
+
+def _logits(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Sums of the rows of a slice of tokens over their bias. Biases are logs of shares and
+    steps shrink, so they are far from where an exponential overflows; a bound makes sure."""
+    logits = weights.take(rows[0], axis=0)
+    for of_feature in rows[1:]:
+        logits += weights.take(of_feature, axis=0)
+    logits += bias
+    return np.minimum(logits, 80, out=logits)
+
+
+def _slices(n: int) -> Iterator[slice]:
+    """Slices of tokens that fit the cache."""
+    for low in range(0, n, _SLICE):
+        yield slice(low, low + _SLICE)
+
+
+def _log_odds(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each target."""
+    found = np.empty(len(target))
+    for part in _slices(len(target)):
+        logits = _logits(weights, rows[:, part], bias[part] if len(bias) > 1 else bias)
+        chosen = logits[np.arange(len(logits)), target[part]]
+        np.exp(logits, out=logits)
+        found[part] = chosen - np.log(logits @ np.ones(logits.shape[1], np.float32))
+    return found
+
+
+def _gradient(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Probability of each output less 1 for the target: a row for each output."""
+    found = np.empty((weights.shape[1], len(target)))
+    for part in _slices(len(target)):
+        logits = _logits(weights, rows[:, part], bias[part] if len(bias) > 1 else bias)
         np.exp(logits, out=logits)
-        np.divide(logits, logits.sum(1, keepdims=True), out=found[part])
+        logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
+        logits[np.arange(len(logits)), target[part]] -= 1
+        found[:, part] = logits.T
     return found
 
 
@@ -268,11 +293,9 @@ def _descend(weights: np.ndarray, squares: np.ndarray, met: np.ndarray, rows: np
 
     A step of a row shrinks with the squares of the gradients it has seen.
     """
-    gradient = _softmax(weights, rows, bias)
-    gradient[np.arange(len(target)), target] -= 1
-    flat, of_output = rows.ravel(), np.ascontiguousarray(gradient.T, np.float64)
+    flat = rows.ravel()
     summed = np.empty_like(weights)
-    for output, of_token in enumerate(of_output):
+    for output, of_token in enumerate(_gradient(weights, rows, bias, target)):
         summed[:, output] = np.bincount(flat, np.tile(of_token, len(rows)), len(weights))
     squares += summed * summed
     weights -= RATE * summed / np.sqrt(1 + squares)
@@ -295,7 +318,7 @@ def _update(shared: Broadcast):
                 part = slice(low, low + _STEP)
                 in_classes, in_members = tokens.rows(part, model)
                 of_class, member = np.divmod(tokens.output[part], model.members.shape[1])
-                _descend(model.classes, squares[0], met[0], in_classes, class_bias[None], of_class)
+                _descend(model.classes, squares[0], met[0], in_classes, class_bias, of_class)
                 _descend(model.members, squares[1], met[1], in_members, member_bias[of_class], member)
         for table, (new, old) in enumerate([(model.classes, start.classes), (model.members, start.members)]):
             touched = np.flatnonzero(met[table])
@@ -363,11 +386,9 @@ def _scored(shared: Broadcast, id_type: str):
                 part = slice(low, low + _STEP)
                 in_classes, in_members = tokens.rows(part, model)
                 of_class, member = np.divmod(tokens.output[part], model.members.shape[1])
-                at = np.arange(len(member))
-                p_class = _softmax(model.classes, in_classes, class_bias[None])[at, of_class]
-                p_member = _softmax(model.members, in_members, member_bias[of_class])[at, member]
-                log_model[part] = np.log10(np.maximum(p_class, 1e-30), dtype=np.float64)
-                log_model[part] += np.log10(np.maximum(p_member, 1e-30), dtype=np.float64)
+                found = _log_odds(model.classes, in_classes, class_bias, of_class)
+                found += _log_odds(model.members, in_members, member_bias[of_class], member)
+                log_model[part] = found / np.log(10)
             learnt = count[tokens.frequent]
             rare = tokens.frequent < 0
             log_count = np.where(rare, 0, np.log10(learnt + 0.5))
