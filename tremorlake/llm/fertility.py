@@ -41,6 +41,8 @@ MEASURES = tuple(LEAST_WIDTH)
 # they count as beside those at hand: no number of documents is a limit.
 USUAL = {"chars_per_token": 0.025, "byte_share": 0.0, "evenness": 0.05}
 WEIGHT = 20
+# As many documents does the middle of a script count for beside those of a language.
+SCRIPT_WEIGHT = 5
 # A median of n documents scatters by its own: a variance of about this by n.
 OF_MEDIAN = 1.57
 
@@ -177,20 +179,23 @@ def _failed_base():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATS * F.col("n_words"))
 
 
-def bands(numbers: DataFrame, weight: int = WEIGHT) -> DataFrame:
+def bands(numbers: DataFrame, weight: int = WEIGHT, of_script: int = SCRIPT_WEIGHT) -> DataFrame:
     """Middle of each measure and deviation from it, by language, over all documents
     that pass the base rules.
 
-    The middle is always the language's own. Its median deviation is averaged with that
+    The middle is the language's own, averaged with that of all documents of its main
+    script, which counts as `of_script` documents; so a few documents under a tag of their
+    own do not say alone what is usual there. The median deviation is averaged with that
     of all documents from the middles of their languages, which counts as `weight`
-    documents, and grows by what the middle itself scatters; so both fade as documents
-    get more, and a rare language is judged by its own middle.
+    documents, and grows by what the middle itself scatters. All of that fades as documents
+    get more: no number of documents switches anything.
     """
     kind = F.coalesce("lang", F.concat(F.lit("script "), "script"))
-    passing = numbers.where(~_failed_base()).select(kind.alias("kind"), "n_words", *MEASURES)
+    passing = numbers.where(~_failed_base()).select(kind.alias("kind"), "script", "n_words", *MEASURES)
     middles = saved(
         passing.groupBy(F.col("kind").alias("of_kind")).agg(
             F.count("*").alias("n"),
+            F.mode("script", True).alias("main_script"),
             F.percentile_approx("n_words", 0.5, 10_000).alias("mid_words"),
             *(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in MEASURES),
         ),
@@ -213,12 +218,16 @@ def bands(numbers: DataFrame, weight: int = WEIGHT) -> DataFrame:
             for m in MEASURES
         )
     )
+    scripts = passing.groupBy(F.col("script").alias("of")).agg(
+        *(F.percentile_approx(m, 0.5, 10_000).alias(f"script_{m}") for m in MEASURES)
+    )  # a row for each of `SCRIPTS`
     own = found.join(middles, found["kind"] == middles["of_kind"]).crossJoin(F.broadcast(of_all))  # a row
-    scatter = F.sqrt(1 + F.lit(OF_MEDIAN) / F.col("n"))
+    own = own.join(F.broadcast(scripts), F.col("main_script") == F.col("of"))
+    scatter = F.sqrt(1 + F.lit(OF_MEDIAN) / (F.col("n") + of_script))
     return own.select(
         "of_kind",
         "mid_words",
-        *(F.col(f"mid_{m}") for m in MEASURES),
+        *(((F.col("n") * F.col(f"mid_{m}") + of_script * F.col(f"script_{m}")) / (F.col("n") + of_script)).alias(f"mid_{m}") for m in MEASURES),
         *(
             ((F.col("n") * F.col(f"own_{m}") + weight * F.col(f"all_{m}")) / (F.col("n") + weight) * scatter).alias(f"dev_{m}")
             for m in MEASURES
@@ -230,7 +239,9 @@ def judge(docs: DataFrame, path: str | None = None, width: float = WIDTH, weight
     """Numbers and verdict of every row of docs.
 
     kept is false if the base rules fail, else true if every measure is in the band
-    of the document's language (of its script if `lang` is null or not there). A null
+    of the document's language (of its script if `lang` is null or not there). A document
+    that is alone in its language is judged by its script almost alone; one that is alone
+    in its script as well has nothing to be told from and stays. A null
     or empty text has no words and fails. Rows that repeat count in the bands and get
     equal results; an empty table gives no rows. Other columns are not looked at.
     """
