@@ -16,15 +16,14 @@ from pyspark.sql import functions as F
 from tremorlake.llm.common import BLANKS, checked, free_names, same, saved, text_key
 
 MIN_SITES = 8
-MIN_WORDS = 3
 NEAR = 0.25
 LG_K = 12
 
 _LINE = ("hash1", "hash2")
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """The lines that can be boilerplate: trimmed, of some words, as a 128-bit hash."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """The lines that can be boilerplate: all that are not blank, trimmed, as a 128-bit hash."""
     lines = docs.select(
         F.col("doc_id").alias("id"),
         text_key().alias("text_hash"),
@@ -32,10 +31,9 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
         F.posexplode(F.split("text", "\n", -1)).alias("at", "line"),
     )
     trimmed = F.btrim("line", F.lit(BLANKS))
-    words = F.size(F.split(F.col("trimmed"), r"[\x20\x09-\x0D]+"))
     return (
         lines.withColumn("trimmed", trimmed)
-        .where((F.col("trimmed") != "") & (words >= min_words))
+        .where(F.col("trimmed") != "")
         .select(
             "id",
             "text_hash",
@@ -48,10 +46,10 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def boilerplate_lines(
-    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, near: float = NEAR, lg_k: int = LG_K
+    docs: DataFrame, min_sites: int = MIN_SITES, near: float = NEAR, lg_k: int = LG_K
 ) -> DataFrame:
     """Places of boilerplate lines to remove: id, text_hash, removed (line numbers from 0)."""
-    lines = _lines(docs, min_words)
+    lines = _lines(docs)
     spread = lines.groupBy(*_LINE).agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
     spread = saved(
         spread.withColumn("about", F.hll_sketch_estimate("sketch"))
@@ -100,8 +98,8 @@ def dedup_lines(docs: DataFrame, **options) -> tuple[DataFrame, str]:
     """docs with boilerplate lines out of `text`, and the name of the added column
     of removed line numbers (null where nothing is removed).
 
-    A boilerplate line, trimmed, has at least `min_words` words and is in at least
-    `min_sites` distinct sources; a null source is a source of its own. Its first
+    A boilerplate line, trimmed, is not blank and is in at least `min_sites` distinct
+    sources, however short it is and in whatever language; a null source is a source of its own. Its first
     occurrence, by doc_id (null last), then text, then line, stays. Blank lines,
     empty and null texts stay as they are. Rows that repeat are one document: each
     gets the same text. Columns of other names are kept, clashing or not; an empty
@@ -138,7 +136,7 @@ cut AS (
 trimmed AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS l FROM cut),
 counted AS (
-  SELECT * FROM trimmed WHERE len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 3),
+  SELECT * FROM trimmed WHERE l <> ''),
 boilerplate AS (
   SELECT l, min({'d': doc_id, 'n': n}) AS opening FROM counted GROUP BY l HAVING count(DISTINCT site) >= 8),
 dropped AS (
