@@ -16,14 +16,17 @@ found without comparing all pairs:
   neighbours, and all that name one hub are linked to the smallest. That ties up
   dense groups with a row per name, not a row per pair.
 * What is left are pairs of different groups that share a key; these are joined
-  and verified bit by bit.
+  and verified bit by bit. A key that many fingerprints share (a page template) is cut
+  further first: the bits in which its fingerprints vary at all make six parts, of
+  which three bits leave at least three equal. So they meet in one of twenty finer
+  keys, where half of those bits are equal.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -31,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tremorlake.llm.common import checked, free_names, saved, text_groups, text_key
 from tremorlake.llm.components import components
@@ -42,6 +46,10 @@ SEED = 42
 # Fixed value: generator polynomial of the binary Golay code of length 23.
 GOLAY_GENERATOR = 0b101011100011
 
+# A key of more fingerprints is cut into finer ones before its pairs are compared.
+CROWD = 256
+_PARTS = 6
+
 _CHUNK = 1 << 15
 
 
@@ -177,9 +185,55 @@ def _hub_links(candidates: DataFrame) -> DataFrame:
     return names.join(smallest.hint("merge"), "hub").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
+def finer_masks(varying: int) -> list[int]:
+    """Masks of the bits of each choice of half the parts of the varying bits, signed.
+
+    Two numbers that vary in those bits only, and differ in at most three, are equal under
+    one of the masks.
+    """
+    bits = [bit for bit in range(64) if varying >> bit & 1]
+    parts = [sum(1 << bit for bit in bits[part::_PARTS]) for part in range(_PARTS)]
+    masks = [sum(chosen) for chosen in combinations(parts, _PARTS - MAX_BITS)]
+    return [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _finer(varying: pd.Series) -> pd.Series:
+    return varying.map(lambda bits: finer_masks(bits & (1 << 64) - 1))
+
+
+def _pairs_across(tagged: DataFrame, max_bits: int) -> DataFrame:
+    """a, b: labels of different groups with fingerprints that link, of written rows of
+    key, fp and label.
+
+    Keys of one group alone have no such pair. In a crowded key only fingerprints that are
+    equal in half of the bits that vary there are compared: at most 2 to the power of the
+    other half with each, however many there are.
+    """
+    split = tagged.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.bit_or("fp").alias("ones"),
+        F.bit_and("fp").alias("fixed"),
+    ).where("low <> high")
+    split = saved(split.select("key", (F.col("n") > CROWD).alias("crowded"), F.expr("ones ^ fixed").alias("varying")), "simhash-split")
+    few = checked(split.where("NOT crowded").select("key"))
+    rest = tagged.join(few, "key").select("key", F.lit(0).alias("part"), F.lit(0).cast("long").alias("equal"), "fp", "label")
+    crowds = checked(saved(split.where("crowded").select(F.col("key").alias("crowd"), _finer("varying").alias("masks")), "simhash-crowds"))
+    finer = tagged.join(crowds, F.col("key") == F.col("crowd")).select("key", "fp", "label", F.posexplode("masks").alias("part", "mask"))
+    finer = finer.select("key", "part", F.expr("fp & mask").alias("equal"), "fp", "label")
+    rows = rest.unionByName(finer)
+    x = rows.select("key", "part", "equal", F.col("fp").alias("x"), F.col("label").alias("a"))
+    y = rows.select("key", "part", "equal", F.col("fp").alias("y"), F.col("label").alias("b"))
+    same_key = (x["key"] == y["key"]) & (x["part"] == y["part"]) & (x["equal"] == y["equal"])
+    return x.join(y, same_key & (x["a"] < y["b"]) & (_differ() <= max_bits)).select("a", "b")
+
+
 def near_groups(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """node, label: fingerprints (distinct values in `fp`) that link to others, and
-    the smallest fingerprint each is connected to."""
+    the smallest fingerprint each is connected to.
+
+    Fingerprints are numbers that are there: no nulls. One without a link has no row, an
+    empty table gives none. Copies are not expected; they would only cost.
+    """
     if max_bits != MAX_BITS:
         raise ValueError(f"the keys are made for {MAX_BITS} bits")
     shared = saved(_shared_keys(fps), "simhash-shared")
@@ -198,12 +252,7 @@ def near_groups(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         ),
         "simhash-tagged",
     )
-    split = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    split = checked(saved(split.select("key"), "simhash-split"))
-    rest = tagged.join(split, "key")
-    x = rest.select("key", F.col("fp").alias("x"), F.col("label").alias("a"))
-    y = rest.select("key", F.col("fp").alias("y"), F.col("label").alias("b"))
-    across = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (_differ() <= max_bits)).select("a", "b")
+    across = _pairs_across(tagged, max_bits)
     across = saved(across.distinct(), "simhash-across")
     if not across.limit(1).count():
         return groups
