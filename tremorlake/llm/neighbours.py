@@ -7,9 +7,10 @@ on every curve, and what it finds is merged and reranked on the original vectors
 
 Windows find near neighbours where vectors cluster. Where they do not (random
 directions in many dimensions) no window on a curve holds most of the nearest,
-so an exact pass may follow: the stated queries against all rows in chunks along
-the first curve. There the k-th best of the windows is the bar: a block whose
-centre and radius can't reach it is skipped, and only rows above it are returned.
+so an exact pass may follow. There the k-th best of the windows is the bar of a query.
+The centres and radii of the blocks of the first curve are a small table; a chunk of
+queries, neighbours on that curve, is compared with them, and only blocks that can
+reach the bar of one of its queries are sent to it.
 """
 
 from __future__ import annotations
@@ -23,12 +24,17 @@ from tremorlake.llm.common import checked, saved
 
 NEAREST = 20
 EVERY = 20
-CURVES = 4
+CURVES = 8
 COORDINATES = 8
 BITS = 7
 BLOCK = 512
-CHUNK = 16_384
-QUERY_CHUNK = 1024
+# Places of the first curve whose queries make a chunk, in queries that are there on average.
+QUERY_CHUNK = 4096
+# Blocks that are sent to a chunk of queries at once, and blocks and chunks of queries
+# whose bounds are compared at once.
+BLOCKS = 32
+CENTRES = 8192
+CHUNKS = 8
 
 _MARGIN = 1e-9
 _SALTS = 64
@@ -83,9 +89,9 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 def valid_vectors(rows: DataFrame) -> DataFrame:
     """id and vector of the rows that take part, one per id.
 
-    Left out are null ids and vectors that are null, empty, zero, hold null or
-    non-finite components, or have another length than most. Of rows that share an
-    id the one with the least vector hash counts.
+    Left out are null ids and vectors that are null, empty, zero, or hold null or
+    non-finite components. Of rows that share an id the one with the least vector hash
+    counts.
     """
     finite = "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
     usable = (
@@ -94,9 +100,7 @@ def valid_vectors(rows: DataFrame) -> DataFrame:
         .groupBy("id")
         .agg(F.min_by("embedding", F.struct(F.xxhash64("embedding"), F.xxhash64("embedding", F.lit(1)))).alias("vector"))
     )
-    usable = saved(usable, "vectors")
-    sizes = usable.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    return usable.where(F.size("vector") == (sizes[0]["size"] if sizes else 0))
+    return usable
 
 
 def _distinct(rows: DataFrame, keep: int) -> DataFrame:
@@ -115,16 +119,22 @@ def _distinct(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def _placed(vectors: DataFrame, curves: int) -> DataFrame:
-    """The vectors on every curve: curve, place (from 0, in key order), and their columns."""
+    """The vectors on every curve: curve, place (from 0, in key order), and their columns.
+
+    Vectors of each length have curves of their own, numbered from `curves` times the length.
+    """
 
     def keys(column: pd.Series) -> pd.Series:
-        if not len(column):
-            return pd.Series([], dtype=object)
-        matrix = _matrix(column)
-        return pd.Series(list(np.stack([curve_keys(matrix, curve) for curve in range(curves)], axis=1)))
+        found = pd.Series([None] * len(column), index=column.index, dtype=object)
+        for _, own in column.groupby(column.map(len)):
+            matrix = _matrix(own)
+            found[own.index] = list(np.stack([curve_keys(matrix, curve) for curve in range(curves)], axis=1))
+        return found
 
     keyed = vectors.withColumn("keys", F.pandas_udf(keys, "array<long>")("vector"))
-    on_curves = keyed.select("vid", "vector", "ids", F.posexplode("keys").alias("curve", "key"))
+    on_curves = keyed.select("vid", "vector", "ids", F.posexplode("keys").alias("number", "key"))
+    curve = (F.size("vector") * curves + F.col("number")).alias("curve")
+    on_curves = on_curves.select("vid", "vector", "ids", curve, "key")
     ranged = saved(
         on_curves.repartitionByRange("curve", "key", "vid").withColumn("part", F.spark_partition_id()), "curves"
     )
@@ -175,26 +185,77 @@ def _window_pairs(keep: int):
     return pairs
 
 
+def _blocks(block: pd.DataFrame) -> pd.DataFrame:
+    """Centre and radius of a block."""
+    vectors = _matrix(block["vector"])
+    centre = vectors.mean(0)
+    radius = float(np.linalg.norm(vectors - centre, axis=1).max())
+    return pd.DataFrame({"curve": block["curve"][:1], "block": block["block"][:1], "centre": [centre], "radius": [radius]})
+
+
+def _reachable(queries: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+    """Blocks whose vectors may reach the bar of a query of a chunk, for each chunk."""
+    results = [pd.DataFrame({"curve": [], "q": [], "block": []})]
+    if len(queries) and len(blocks):
+        centres, radii, numbers = _matrix(blocks["centre"]), blocks["radius"].to_numpy(), blocks["block"].to_numpy()
+        for chunk, own in queries.groupby("q"):
+            reached = np.zeros(len(blocks), bool)
+            for first in range(0, len(own), 1024):
+                part = own.iloc[first : first + 1024]
+                asked, bars = _matrix(part["vector"]), part["bar"].to_numpy()[:, None]
+                most = asked @ centres.T + np.linalg.norm(asked, axis=1)[:, None] * radii
+                reached |= (most >= bars - _MARGIN * np.maximum(1, np.abs(most))).any(0)
+            results.append(pd.DataFrame({"curve": queries["curve"].iloc[0], "q": chunk, "block": numbers[reached]}))
+    return pd.concat(results, ignore_index=True)
+
+
 def _chunk_pairs(keep: int):
-    def pairs(queries: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
+    def pairs(queries: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         results = [pd.DataFrame({"query": [], "id": [], "score": []})]
-        if len(queries) and len(chunk):
-            chunk = chunk.sort_values("place")
-            asked, vectors, ids = _matrix(queries["vector"]), _matrix(chunk["vector"]), list(chunk["ids"])
-            lengths, bars = np.linalg.norm(asked, axis=1), queries["bar"].to_numpy()
-            for first in range(0, len(vectors), BLOCK):
-                block = vectors[first : first + BLOCK]
-                centre = block.mean(0)
-                radius = np.linalg.norm(block - centre, axis=1).max()
+        if len(queries) and len(sent):
+            asked, bars, names = _matrix(queries["vector"]), queries["bar"].to_numpy(), queries["vid"].to_numpy()
+            lengths = np.linalg.norm(asked, axis=1)
+            for _, block in sent.groupby("block"):
+                vectors = _matrix(block["vector"])
+                centre = vectors.mean(0)
+                radius = np.linalg.norm(vectors - centre, axis=1).max()
                 near = np.flatnonzero(asked @ centre + lengths * radius >= bars - _MARGIN * np.maximum(1, np.abs(bars)))
-                if len(near):
-                    names = queries["vid"].to_numpy()[near]
-                    results.append(_best(asked[near], names, bars[near], block, ids[first : first + BLOCK], keep))
+                for first in range(0, len(near), 1024):
+                    some = near[first : first + 1024]
+                    results.append(_best(asked[some], names[some], bars[some], vectors, list(block["ids"]), keep))
         return pd.concat(results, ignore_index=True)
 
     return pairs
 
 
+def reachable_blocks(first: DataFrame, placed: DataFrame) -> DataFrame:
+    """curve, q, block: the blocks each chunk of queries has to see; written.
+
+    `first` has the queries on the first curves, with their chunk q and their bar. Queries meet
+    the table of blocks, a row for 512 vectors, in parts of bounded size.
+    """
+    blocks = placed.groupBy("curve", "block").applyInPandas(_blocks, "curve int, block long, centre array<double>, radius double")
+    blocks = saved(blocks, "blocks")
+    sizes = saved(
+        blocks.groupBy(F.col("curve").alias("of")).agg(F.max("block").alias("last_block")).join(
+            first.groupBy(F.col("curve").alias("at")).agg(F.max("q").alias("last_q")), F.col("of") == F.col("at")
+        ).select("of", F.floor(F.col("last_block") / CENTRES).alias("parts"), F.floor(F.col("last_q") / CHUNKS).alias("chunks")),
+        "curve-sizes",
+    )
+    sizes = F.broadcast(sizes)  # a row for each length of vectors
+    asked = first.join(sizes, F.col("curve") == F.col("of")).select(
+        "curve", "q", "vector", "bar", F.floor(F.col("q") / CHUNKS).alias("chunk"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts"))).alias("part"),
+    )
+    there = blocks.join(sizes, F.col("curve") == F.col("of")).select(
+        "curve", "block", "centre", "radius", F.floor(F.col("block") / CENTRES).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks"))).alias("chunk"),
+    )
+    key = ["curve", "chunk", "part"]
+    found = asked.groupBy(*key).cogroup(there.groupBy(*key)).applyInPandas(_reachable, "curve int, q long, block long")
+    return saved(found, "reachable")
+
+
 def _top(found: DataFrame, keep: int) -> DataFrame:
     """The best `keep` of each query."""
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
@@ -207,7 +268,8 @@ def nearest(
     """query_id, rank, vec_id and score of the nearest of each query.
 
     Queries are the rows whose vec_id is divisible by `every`, candidates all rows
-    but the query's own; both as `valid_vectors` takes them. Equal scores go by
+    but the query's own; both as `valid_vectors` takes them. Vectors of another length
+    than the query's have no product with it and are no candidates. Equal scores go by
     vec_id. With fewer candidates than `nearest`, all are returned; an empty table
     gives no rows. Only vec_id and embedding are looked at. Without `exact` the
     result is what the windows on the curves hold.
@@ -225,15 +287,15 @@ def nearest(
     )
     placed = _placed(distinct.select("vid", "vector", "ids"), curves)
     wanted = checked(saved(asking.select(F.col("vid").alias("asked")).distinct(), "asked"))
+    placed = placed.withColumn("block", F.floor(F.col("place") / BLOCK))
     again = placed.toDF(*placed.columns)  # columns of its own, for the joins below
     queries = again.join(wanted, F.col("vid") == F.col("asked")).select("curve", "place", "vid", "vector")
 
     block = F.floor(F.col("place") / BLOCK)
     beside = queries.withColumn("block", F.explode(F.array(block - 1, block, block + 1))).where("block >= 0")
-    blocks = placed.withColumn("block", block)
     found = (
         beside.groupBy("curve", "block")
-        .cogroup(blocks.groupBy("curve", "block"))
+        .cogroup(placed.groupBy("curve", "block"))
         .applyInPandas(_window_pairs(keep), _FOUND)
         .distinct()
     )
@@ -241,24 +303,26 @@ def nearest(
     if exact:
         # The bar of a query is its last rank in the windows, if they hold enough rows.
         bars = checked(saved(best.where(F.col("n") == keep).select(F.col("query").alias("of"), F.col("score").alias("bar")), "bars"))
-        first = queries.where("curve = 0")
-        first = first.join(bars, F.col("vid") == F.col("of"), "left").withColumn(
-            "bar", F.coalesce("bar", F.lit(float("-inf")))
-        )
-        n_rows, n_queries = distinct.count(), asking.select("vid").distinct().count()
-        chunks, query_chunks = max(1, -(-n_rows // CHUNK)), max(1, -(-n_queries // QUERY_CHUNK))
-        asked = first.withColumn("q", F.pmod(F.xxhash64("vid"), F.lit(query_chunks))).withColumn(
-            "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
-        )
-        along = (
-            placed.where("curve = 0")
-            .withColumn("c", F.floor(F.col("place") / CHUNK).cast("int"))
-            .withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_chunks - 1).cast("long"))))
-        )
+        first = queries.where(F.col("curve") % curves == 0).join(bars, F.col("vid") == F.col("of"), "left")
+        first = saved(
+            first.select(
+                "curve", "vid", "vector", F.coalesce("bar", F.lit(float("-inf"))).alias("bar"),
+                F.floor(F.col("place") / (QUERY_CHUNK * every)).alias("q"),
+            ),
+            "asking",
+        )
+        along = placed.where(F.col("curve") % curves == 0)
+        reached = reachable_blocks(first, along)
+        group = F.floor(F.col("block") / BLOCKS).alias("c")
+        visits = reached.select(F.col("curve").alias("at"), F.col("q").alias("chunk"), group).distinct()
+        asked = first.join(visits, (F.col("curve") == F.col("at")) & (F.col("q") == F.col("chunk")))
+        wanted_blocks = reached.select(F.col("curve").alias("at"), "q", F.col("block").alias("number"))
+        sent = along.join(wanted_blocks, (F.col("curve") == F.col("at")) & (F.col("block") == F.col("number")))
+        key = ["curve", "q", "c"]
         found = (
-            asked.select("c", "q", "vid", "vector", "bar")
-            .groupBy("c", "q")
-            .cogroup(along.select("c", "q", "place", "vector", "ids").groupBy("c", "q"))
+            asked.select(*key, "vid", "vector", "bar")
+            .groupBy(*key)
+            .cogroup(sent.select("curve", "q", group, "block", "vector", "ids").groupBy(*key))
             .applyInPandas(_chunk_pairs(keep), _FOUND)
         )
         best = saved(_top(found, keep), "exact")
