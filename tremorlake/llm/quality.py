@@ -134,11 +134,16 @@ def scores(docs: DataFrame, model: Model):
 
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            found = np.empty(len(texts))
-            for start in range(0, len(texts), _BLOCK):
-                counts = np.array([histogram(text) for text in encoded(texts.iloc[start : start + _BLOCK])])
-                found[start : start + _BLOCK] = vote(shared.value, counts)
-            yield pd.Series(found)
+            # One text at a time is held as bytes; of the others there are histograms.
+            found, counts = [np.empty(0)], []
+            for text in texts:
+                counts.append(histogram(b"" if text is None else text.encode()))
+                if len(counts) == _BLOCK:
+                    found.append(vote(shared.value, np.array(counts)))
+                    counts = []
+            if counts:
+                found.append(vote(shared.value, np.array(counts)))
+            yield pd.Series(np.concatenate(found))
 
     of_batches.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(of_batches, "double")
@@ -162,7 +167,12 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 
 def good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """docs without those the classifier rejects, with their columns."""
+    """docs without those the classifier rejects, with their columns.
+
+    Null and empty texts have the share of good labels as their score, like all texts if
+    there are no labels, and stay if it reaches the threshold. Rows that repeat stay or go
+    together; an empty table gives no rows; columns may have any names.
+    """
     model = train(docs.select("doc_id", "text"), labels, sample)
     (name,) = free_names(docs, "score")
     return docs.withColumn(name, scores(docs, model)("text")).where(F.col(name) >= THRESHOLD).drop(name)

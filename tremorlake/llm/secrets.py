@@ -265,7 +265,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """docs with each secret in `text` replaced by a mark, overlapping ones by one."""
+    """docs with each secret in `text` replaced by a mark, overlapping ones by one.
+
+    Null and empty texts, and texts without secrets, stay as they are. Rows that repeat get
+    equal texts; an empty table gives no rows; other columns stay, whatever their names.
+    """
     found = find_secrets(docs)
     id_, hash_, spans = free_names(docs, "id_of_found", "hash_of_found", "found")
     found = found.withColumnsRenamed({"id": id_, "text_hash": hash_, "found": spans})
