@@ -30,6 +30,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--on-error", choices=["truncate", "skip"], default="truncate")
     parser.add_argument("--without-place", action="store_true")
     parser.add_argument("--n-files", type=int, help="silver files of a canonical load")
+    parser.add_argument("--by-feature", action="store_true", help="a canonical load of documents too large for one task")
+    parser.add_argument("--load-id", help="makes an append or canonical load one that can be run again")
     chosen = parser.parse_args(arguments)
     needed = [] if chosen.job == "report" else ["staged", "root", "run_date"]
     needed += ["audit_table"] if chosen.job == "audited" else []
@@ -62,7 +64,7 @@ def main(arguments: list[str] | None = None) -> None:
         elif chosen.job == "daily":
             result = jobs.daily_load(documents, **where)
         elif chosen.job == "append":
-            result = jobs.append_load(documents, feed=chosen.feed, **where)
+            result = jobs.append_load(documents, feed=chosen.feed, load_id=chosen.load_id, **where)
         else:
             result = jobs.canonical_load(
                 documents,
@@ -70,6 +72,8 @@ def main(arguments: list[str] | None = None) -> None:
                 include_place=not chosen.without_place,
                 on_error=chosen.on_error,
                 n_files=chosen.n_files,
+                by_feature=chosen.by_feature,
+                load_id=chosen.load_id,
                 **where,
             )
     print(result)

@@ -338,3 +338,33 @@ def test_a_large_document_is_read_by_many_tasks(spark, lines, tmp_path):
         assert places.groupBy("document").count().agg(F.max("count")).first()[0] > 1
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+@pytest.mark.parametrize("cut_rows", [1_000_000, 0])
+def test_losses_over_tasks_are_the_same(lines, tmp_path, monkeypatch, cut_rows):
+    monkeypatch.setattr(C, "CUT_ROWS", cut_rows)
+    monkeypatch.setattr(C, "CUT_BLOCK", 50)
+    frame = long_documents(lines)
+    tagged = C.tagged_over_tasks(C.land_features(frame, str(tmp_path / "features")), str(tmp_path / "cuts"))
+    assert sorted(map(str, tagged.collect())) == sorted(map(str, C.tagged_project(frame).collect()))
+
+
+def test_loads_by_feature(spark, lines, tmp_path):
+    import datetime as dt
+
+    from tremorlake.plans import jobs
+    from tremorlake.sources import layers as L
+    from tremorlake.sources import tables as T
+
+    T.ensure_namespace(spark, "by_feature", str(tmp_path / "ns"))
+    found = []
+    for number, by_feature in enumerate((False, True)):
+        result = jobs.canonical_load(
+            long_documents(lines), str(tmp_path / f"lake{number}"), "daily", dt.date(2024, 1, 30), f"by_feature.t{number}", by_feature=by_feature
+        )
+        rows = L.read_silver(spark, result.silver, CANONICAL_SILVER).collect()
+        lost = L.read_quarantine(spark, result.quarantine).collect()
+        found.append((sorted(map(str, rows)), sorted(map(str, lost)), result.lost_documents, result.lost_features))
+    assert found[0] == found[1] and found[0][2:] == (1, 2 * 52 + 2)
+    with pytest.raises(ValueError, match="truncates"):
+        jobs.canonical_load(lines(GOOD), str(tmp_path), "daily", dt.date(2024, 1, 30), "by_feature.t", on_error="skip", by_feature=True)

@@ -182,3 +182,12 @@ def test_clocks_are_utc_in_any_zone(spark):
         "1970-01-01T00:00:00",
         "2024-03-10T07:30:00.000000",
     )
+
+
+def test_scratch_is_removed_by_one_call(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])  # not those of other tests
+    paths = [session.scratch_dir(spark, "gone") for _ in range(3)]
+    for path in paths[:2]:
+        spark.range(3).write.parquet(path)
+    assert session.remove_scratch(spark) == 2
+    assert not any(Path(path).exists() for path in paths) and session.remove_scratch(spark) == 0

@@ -309,9 +309,13 @@ def tagged_project(
 
     The columns of a row are null where something was lost, and `lost` is null in a row.
     """
+    return _tagged_columns(tagged_input(lines, on_error, spread), include_place)
+
+
+def _tagged_columns(tagged: DataFrame, include_place: bool) -> DataFrame:
     is_row = F.col("kind") == ROW_KIND
     columns = [F.when(is_row, canonical_column(field)).alias(field.name) for field in silver_schema(include_place).fields]
-    return tagged_input(lines, on_error, spread).select("kind", *columns, "lost")
+    return tagged.select("kind", *columns, "lost")
 
 
 def canonical_features(lines: DataFrame, on_error: str = "truncate", spread: int | None = None) -> DataFrame:
@@ -338,12 +342,14 @@ def land_features(lines: DataFrame, path: str) -> DataFrame:
 
     `document` tells documents apart (also equal ones), `ordinal` is the place of a feature
     in its document from 0, `feature` its value. A line is read by one task here; from then
-    on its features are rows like any others, in files that are split by size. Documents
-    that are no JSON or have no feature list have no row.
+    on its features are rows like any others, in files that are split by size. A document
+    that is no JSON or has no feature list is one row: its text in `lost`, the rest null.
     """
-    numbered = accepted_documents(lines).withColumn("document", F.monotonically_increasing_id())
-    rows = numbered.select("document", F.posexplode("features").alias("at", "feature"))
-    rows = rows.select("document", F.col("at").cast("long").alias("ordinal"), "feature")
+    numbered = parse_documents(lines).withColumn("document", F.monotonically_increasing_id())
+    rejected = F.when(F.col("features").isNull(), F.col("value")).alias("lost")
+    rows = numbered.select("document", rejected, F.posexplode_outer("features").alias("at", "feature"))
+    rows = rows.filter("at IS NOT NULL OR lost IS NOT NULL")
+    rows = rows.select("document", F.col("at").cast("long").alias("ordinal"), "feature", "lost")
     commits.write_complete(rows, path, lambda df, to: df.write.parquet(to))
     return lines.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -354,12 +360,14 @@ def first_bad_ordinals(landed: DataFrame) -> DataFrame:
     One exchange; before it every task has at most one row per document.
     """
     bad = F.when(F.expr(is_bad_feature("feature")), F.col("ordinal"))
-    found = landed.groupBy("document").agg(F.min(bad).alias("first_bad"), F.max("ordinal").alias("last"))
+    features = landed.filter("ordinal IS NOT NULL")
+    found = features.groupBy("document").agg(F.min(bad).alias("first_bad"), F.max("ordinal").alias("last"))
     return found.filter("first_bad IS NOT NULL")
 
 
-def cut_features(landed: DataFrame, path: str) -> DataFrame:
-    """The features before the first bad one of their document.
+def with_cuts(landed: DataFrame, path: str) -> DataFrame:
+    """The landed rows with `first_bad`, the first bad ordinal of their document, on all
+    rows from there on; null on the rows before.
 
     The cuts are written to the path. Up to `CUT_ROWS` of them go to every task. More are
     joined by document and block of ordinals, and a document has a cut in each block from
@@ -369,16 +377,37 @@ def cut_features(landed: DataFrame, path: str) -> DataFrame:
     n_cuts = commits.write_complete(cuts, path, lambda df, to: df.write.parquet(to))
     cuts = landed.sparkSession.read.schema(cuts.schema).parquet(path)
     if n_cuts <= CUT_ROWS:
-        cuts = F.broadcast(cuts.select(F.col("document").alias("cut"), "first_bad"))
+        cuts = F.broadcast(cuts.select(F.col("document").alias("cut"), F.col("first_bad").alias("from_bad")))
         same = F.col("document") == F.col("cut")
     else:
         first, last = F.floor(F.col("first_bad") / CUT_BLOCK), F.floor(F.col("last") / CUT_BLOCK)
-        cuts = cuts.select(F.col("document").alias("cut"), "first_bad", F.explode(F.sequence(first, last)).alias("block"))
+        block = F.explode(F.sequence(first, last)).alias("block")
+        cuts = cuts.select(F.col("document").alias("cut"), F.col("first_bad").alias("from_bad"), block)
         same = (F.col("document") == F.col("cut")) & (F.floor(F.col("ordinal") / CUT_BLOCK) == F.col("block"))
-    kept = landed.join(cuts, same, "left").filter("first_bad IS NULL OR ordinal < first_bad")
+    joined = landed.join(cuts, same, "left")
+    reached = F.when(F.col("ordinal") >= F.col("from_bad"), F.col("from_bad"))
+    return joined.select(*landed.columns, reached.alias("first_bad"))
+
+
+def cut_features(landed: DataFrame, path: str) -> DataFrame:
+    """The features before the first bad one of their document; the cuts go to the path."""
+    kept = with_cuts(landed, path).filter("first_bad IS NULL AND ordinal IS NOT NULL")
     return kept.select("document", "ordinal", "feature")
 
 
+def tagged_over_tasks(landed: DataFrame, path: str, include_place: bool = True) -> DataFrame:
+    """As `tagged_project` under the truncate rule, with the features of a document on many tasks."""
+    kind = f"""CASE WHEN ordinal IS NULL THEN '{DOCUMENT_KIND}'
+        WHEN first_bad IS NULL THEN '{ROW_KIND}' ELSE '{FEATURE_KIND}' END"""
+    exact = _exact_features("array(feature)")
+    rows = with_cuts(landed, path).selectExpr(f"{kind} AS kind", "feature", "lost").selectExpr(
+        "kind",
+        f"CASE WHEN kind = '{ROW_KIND}' THEN get({exact}, 0) END AS typed",
+        f"CASE WHEN kind = '{FEATURE_KIND}' THEN to_json(feature) ELSE lost END AS lost",
+    )
+    return _tagged_columns(rows.withColumnRenamed("typed", "feature"), include_place)
+
+
 def project_features(features: DataFrame, include_place: bool = True) -> DataFrame:
     """Canonical rows of features that are rows of their own; all must be good ones."""
     exact = _exact_features("array(feature)")

@@ -115,6 +115,7 @@ def canonical_load(
     as_of: dt.datetime | None = None,
     spread: int | None = None,
     load_id: str | None = None,
+    by_feature: bool = False,
 ) -> LoadResult:
     """Land, project, write silver and append gold under canonical rules.
 
@@ -122,14 +123,23 @@ def canonical_load(
     once: one action writes the rows to silver and what the error rule drops to the
     quarantine, and counts both. `spread` deals the rows of large documents over that many
     tasks. A load under a `load_id` may be run again, see `append_by_name`.
+
+    `by_feature` is for documents too large for one task: features are landed one a row, and
+    the truncate rule and all that follows run over rows, wherever their document is.
     """
+    if by_feature and (on_error != "truncate" or spread):
+        raise ValueError("a load by feature truncates and is spread already")
     spark = documents.sparkSession
     paths = L.Layers(root, "canonical", feed, run_date)
     landed = L.land_bronze(documents, paths.bronze)
 
     lines = L.read_bronze_text(spark, paths.bronze)
     schema = canonical.silver_schema(include_place)
-    tagged = canonical.tagged_project(lines, on_error, include_place, spread)
+    if by_feature:
+        landed_features = canonical.land_features(lines, paths.features)
+        tagged = canonical.tagged_over_tasks(landed_features, paths.cuts, include_place)
+    else:
+        tagged = canonical.tagged_project(lines, on_error, include_place, spread)
     counts = L.write_tagged(tagged, schema, paths.silver, paths.quarantine, n_files)
 
     silver = L.read_silver(spark, paths.silver, schema)

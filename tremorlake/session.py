@@ -54,7 +54,26 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/tremorlake/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/tremorlake/{label}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete all scratch folders this process has asked for; how many were there.
+
+    Call it when no frame that starts from them is needed any more. Folders of other
+    processes stay.
+    """
+    removed = 0
+    while _made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return removed
+
+
+# Scratch folders of this process.
+_made: list[str] = []
 
 
 @lru_cache(maxsize=1)

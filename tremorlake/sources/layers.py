@@ -64,6 +64,16 @@ class Layers:
     def quarantine(self) -> str:
         return dated_path(self.root, "quarantine", self.flavour, self.feed, self.run_date, QUARANTINE_NAME)
 
+    @property
+    def features(self) -> str:
+        """Landed features, one a row."""
+        return dated_path(self.root, "features", self.flavour, self.feed, self.run_date, "landed")
+
+    @property
+    def cuts(self) -> str:
+        """Where documents are cut at a bad feature."""
+        return dated_path(self.root, "features", self.flavour, self.feed, self.run_date, "cuts")
+
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
     """Staged raw documents, one file each, as a frame with one text column `value`."""

@@ -424,6 +424,7 @@ UNION ALL SELECT 'string', '101', true, true, CAST(0 AS BIGINT)""",
     "job_historical": NULLABLE_ROWS,
     "job_daily": NULLABLE_ROWS,
     "job_canonical": GOLD_ROWS,
+    "job_canonical_by_feature": f"{ROUGH} SELECT {rough_columns()} FROM kept",
     "job_canonical_historical": f"""
 SELECT * REPLACE (CAST(NULL AS VARCHAR) AS place) FROM ({GOLD_ROWS})""",
     "job_audited": f"SELECT {nullable_columns(nulls=('geometry_type',))} FROM events",

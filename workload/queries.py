@@ -669,6 +669,15 @@ def _(s: Store) -> DataFrame:
     )
 
 
+@query("job_canonical_by_feature")
+def _(s: Store) -> DataFrame:
+    """What the load of the rough feed stores when features are landed one a row."""
+    result = jobs.canonical_load(
+        s.staged(rough=True), s.fresh("lake"), "daily", RUN_DATE, s.fresh_table("gold"), by_feature=True
+    )
+    return L.read_silver(s.spark, result.silver, CANONICAL_SILVER)
+
+
 @query("job_canonical_historical")
 def _(s: Store) -> DataFrame:
     result = jobs.canonical_load(
