@@ -30,9 +30,11 @@ BITS = 7
 BLOCK = 512
 # Places of the first curve whose queries make a chunk, in queries that are there on average.
 QUERY_CHUNK = 4096
+# Places of a block of the exact pass: so few are mostly of one cluster, and bounds are tight.
+FINE = 64
 # Blocks that are sent to a chunk of queries at once, and blocks and chunks of queries
 # whose bounds are compared at once.
-BLOCKS = 32
+BLOCKS = 256
 CENTRES = 8192
 CHUNKS = 8
 
@@ -215,7 +217,9 @@ def _chunk_pairs(keep: int):
         if len(queries) and len(sent):
             asked, bars, names = _matrix(queries["vector"]), queries["bar"].to_numpy(), queries["vid"].to_numpy()
             lengths = np.linalg.norm(asked, axis=1)
-            for _, block in sent.groupby("block"):
+            sent = sent.sort_values("block", kind="stable")
+            for at in range(0, len(sent), BLOCK):
+                block = sent.iloc[at : at + BLOCK]
                 vectors = _matrix(block["vector"])
                 centre = vectors.mean(0)
                 radius = np.linalg.norm(vectors - centre, axis=1).max()
@@ -232,7 +236,7 @@ def reachable_blocks(first: DataFrame, placed: DataFrame) -> DataFrame:
     """curve, q, block: the blocks each chunk of queries has to see; written.
 
     `first` has the queries on the first curves, with their chunk q and their bar. Queries meet
-    the table of blocks, a row for 512 vectors, in parts of bounded size.
+    the table of blocks, a row for 64 vectors, in parts of bounded size.
     """
     blocks = placed.groupBy("curve", "block").applyInPandas(_blocks, "curve int, block long, centre array<double>, radius double")
     blocks = saved(blocks, "blocks")
@@ -311,7 +315,7 @@ def nearest(
             ),
             "asking",
         )
-        along = placed.where(F.col("curve") % curves == 0)
+        along = placed.where(F.col("curve") % curves == 0).withColumn("block", F.floor(F.col("place") / FINE))
         reached = reachable_blocks(first, along)
         group = F.floor(F.col("block") / BLOCKS).alias("c")
         visits = reached.select(F.col("curve").alias("at"), F.col("q").alias("chunk"), group).distinct()
