@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tremorlake.llm import bytepair, fertility, neighbours, quality, secrets, simhash, substrings, tokens
+from tremorlake.llm.common import cells
 from tremorlake.llm.components import components
 from tremorlake.llm.queries import QUERIES
 
@@ -214,9 +215,12 @@ def test_components(spark):
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 200: 200, 201: 200}
 
 
-@pytest.mark.parametrize("most", [1, 1000])
-def test_repeated_spans(spark, documents, texts, most):
-    """Both ways of comparing segments against all windows in a dictionary."""
+@pytest.mark.parametrize("most, bound", [(1, None), (1000, None), (1, 0), (1000, 0)])
+def test_repeated_spans(spark, documents, texts, most, bound, monkeypatch):
+    """Both ways of comparing segments, with lists broadcast or shuffled, against all windows in a dictionary."""
+    if bound is not None:
+        monkeypatch.setattr(substrings, "LIST_CELLS", bound)
+        monkeypatch.setattr(substrings, "BROADCAST_CELLS", bound)
     sources = substrings._sources(documents)
     spans = substrings.repeated_spans(sources, substrings._copies(sources), most=most)
     found = {row.id: sorted((s.start, s.end) for s in row.spans) for row in spans.collect()}
@@ -233,6 +237,32 @@ def test_repeated_spans(spark, documents, texts, most):
         copies.add(texts[doc_id])
 
 
+@pytest.mark.parametrize("slots", [1, 4, 64])
+def test_met_segments(slots):
+    """Only segments of earlier places are known, and with slots enough all that come in order."""
+    rng = np.random.default_rng(5)
+    met, seen = substrings.Met(slots), {}
+    for group in range(50):
+        keys = rng.choice(20, 6, replace=False).astype(np.uint64)
+        ids = rng.integers(0, 60, 6) if group % 2 else np.full(6, 100 + group)
+        zeros = np.zeros(6, np.int64)
+        known = met.earlier(keys, keys + np.uint64(7), ids, zeros, zeros)
+        for key, id_, is_known in zip(keys.tolist(), ids.tolist(), known.tolist()):
+            assert not is_known or min(seen[key]) < id_
+            seen.setdefault(key, []).append(id_)
+    segment = np.array([3], np.uint64)
+    place = [np.array([at]) for at in (5, 1, 2)]
+    assert not met.earlier(segment, segment, *place)[0] and not met.earlier(segment, segment, *place)[0]
+    assert met.earlier(segment, segment, np.array([5]), np.array([1]), np.array([3]))[0]
+    assert not met.earlier(segment, segment, np.array([5]), np.array([0]), np.array([9]))[0]
+
+
+def test_cells_count_values_in_arrays(spark):
+    rows = [(1, [(1, 2, 3)] * 4, [1, 2]), (2, None, []), (None, [], None)]
+    df = spark.createDataFrame(rows, "id long, places array<struct<a int, b int, c int>>, numbers array<long>")
+    assert cells(df) == 9 + 12 + 2 and cells(df.where("false")) == 0
+
+
 def test_automaton():
     rng = random.Random(5)
     automaton, added = substrings.Automaton(), []

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tremorlake.session import scratch_dir
 
@@ -20,7 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
 # A side of a join is broadcast up to this many cells (rows times columns, and
-# array elements), about 30 MB as a hash table; a larger one is joined by shuffling.
+# values in arrays), about 30 MB as a hash table; a larger one is joined by shuffling.
 BROADCAST_CELLS = 250_000
 
 # Texts are handled in groups of about this many bytes inside a task.
@@ -39,11 +40,14 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def cells(df: DataFrame) -> int:
-    """Number of values in a frame, elements of arrays included."""
-    arrays = [name for name, kind in df.dtypes if kind.startswith("array")]
+    """Number of values in a frame, those in elements of arrays included: a struct of three counts as three."""
     per_row = F.lit(len(df.columns))
-    for name in arrays:
-        per_row = per_row + F.coalesce(F.size(F.col(f"`{name}`")), F.lit(0))
+    for field in df.schema.fields:
+        if isinstance(field.dataType, ArrayType):
+            element = field.dataType.elementType
+            width = len(element.fields) if isinstance(element, StructType) else 1
+            # The size of null is -1 or null, by a setting.
+            per_row = per_row + width * F.coalesce(F.greatest(F.size(F.col(f"`{field.name}`")), F.lit(0)), F.lit(0))
     return df.agg(F.sum(per_row.cast("long"))).first()[0] or 0
 
 

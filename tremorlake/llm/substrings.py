@@ -10,8 +10,9 @@ shards that fit a task, and only what can match is brought to a shard:
    a document has about one anchor per eight words. The windows of one anchor form
    a segment, known by a hash.
 3. A segment equal to an earlier one is repeated as a whole. Inside a task such
-   segments are found before anything is shuffled, so a passage that is in a third
-   of all documents arrives as one row per task group.
+   segments are found before anything is shuffled, among the texts of a group and by
+   a table of the segments met before, so a passage that is in a third of all
+   documents arrives as about one row per task.
 4. First segments of anchors that have several go to the shard of the anchor. There
    they pass through a suffix automaton of the segments before them, in order:
    where the matching statistic reaches the window length, the window is repeated.
@@ -19,7 +20,9 @@ shards that fit a task, and only what can match is brought to a shard:
 5. Anchors with more segments than a shard holds (a short phrase everywhere) take
    another way: their windows are compared by hash, by aggregation.
 
-The spans found are merged and cut from the texts.
+The spans found are merged and cut from the texts. Texts meet lists of places three
+times, always by document: copies before 2, segments before 4 and 5, spans at the end.
+Lists over a bound are joined by shuffling, texts along with them.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import checked, same, saved, text_groups, word_numbers
+from tremorlake.llm.common import BROADCAST_CELLS, checked, same, saved, text_groups, word_numbers
 
 WINDOW = 20
 SHINGLE = 5
@@ -42,6 +45,8 @@ SHINGLE = 5
 MOST_SEGMENTS = 1000
 # Lists of places are broadcast up to this many numbers, about 50 MB.
 LIST_CELLS = 4_000_000
+# Slots of a task's table of segments met, 32 bytes each.
+SLOTS = 1 << 18
 
 # Any odd numbers do for mixing hashes.
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -50,8 +55,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _NO_ID = (1 << 63) - 1
 
 _ANCHORS = "anchor long, segment long, id long, text_hash int, start int, n int, local boolean"
-_SEGMENTS = "anchor long, id long, text_hash int, start int, words array<long>"
-_WINDOWS = "hash1 long, hash2 long, id long, text_hash int, start int"
+# Segments of usual anchors under their anchor; of crowded ones each window, under one hash with the other as its words.
+_CUT = "key long, id long, text_hash int, start int, words array<long>, crowded boolean"
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -98,8 +103,37 @@ def _word_hashes(group: list[bytes]) -> list[np.ndarray]:
     return [hashes[own] for own in numbers]
 
 
+class Met:
+    """Segments a task has met and a place of each, in a bounded number of slots.
+
+    A slot holds the segment that came last, so those that are everywhere are nearly
+    always there. What is not there is found later, by the shuffle.
+    """
+
+    def __init__(self, slots: int = SLOTS):
+        self.anchor, self.segment = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        # No place is after these, so an empty slot knows nothing.
+        last = np.iinfo(np.int32).max
+        self.id, self.text_hash, self.start = np.full(slots, _NO_ID), np.full(slots, last), np.full(slots, last)
+
+    def earlier(self, anchor, segment, id_, text_hash, start) -> np.ndarray:
+        """Whether each of these different segments is known from an earlier place; then they are met."""
+        slot = (_mixed(anchor * _ODD + segment) % np.uint64(len(self.id))).astype(np.int64)
+        same_id, same_text = self.id[slot] == id_, self.text_hash[slot] == text_hash
+        before = (self.id[slot] < id_) | same_id & (self.text_hash[slot] < text_hash)
+        before |= same_id & same_text & (self.start[slot] < start)
+        known = before & (self.anchor[slot] == anchor) & (self.segment[slot] == segment)
+        slot, own = np.unique(np.where(known, -1, slot), return_index=True)
+        own = own[slot >= 0]
+        slot = slot[slot >= 0]
+        self.anchor[slot], self.segment[slot], self.id[slot] = anchor[own], segment[own], id_[own]
+        self.text_hash[slot], self.start[slot] = text_hash[own], start[own]
+        return known
+
+
 def _find_anchors(window: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Met()
         for rows, group in text_groups(batches):
             parts = []
             ids, hashes = rows.column("id").to_pylist(), rows.column("text_hash").to_pylist()
@@ -109,19 +143,22 @@ def _find_anchors(window: int):
                     n = len(start)
                     parts.append((anchor, span_hashes(words, start, end), np.full(n, id_), np.full(n, hash_), start, end - start))
             if parts:
-                yield _preaggregated(*(np.concatenate(column) for column in zip(*parts)))
+                yield _preaggregated(met, *(np.concatenate(column) for column in zip(*parts)))
 
     return of_batches
 
 
-def _preaggregated(anchor, segment, id_, hash_, start, n) -> pa.RecordBatch:
-    """Rows of a group of texts. Those equal to an earlier one of the group are known to
-    be repeated (`local`); they get keys of their own, so that they don't meet later."""
+def _preaggregated(met: Met, anchor, segment, id_, hash_, start, n) -> pa.RecordBatch:
+    """Rows of a group of texts. Those equal to an earlier one of the group or of those met
+    before are known to be repeated (`local`); they get keys of their own, so that they don't
+    meet later."""
     order = np.lexsort((start, hash_, id_, segment, anchor))
     anchor, segment, id_, hash_, start, n = (x[order] for x in (anchor, segment, id_, hash_, start, n))
     new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])])
-    first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    local = (id_ != id_[first]) | (hash_ != hash_[first]) | (start != start[first])
+    firsts, of = np.flatnonzero(new), np.cumsum(new) - 1
+    first = firsts[of]
+    known = met.earlier(*(x[firsts] for x in (anchor, segment, id_, hash_, start)))
+    local = known[of] | (id_ != id_[first]) | (hash_ != hash_[first]) | (start != start[first])
     own = _mixed(id_.astype(np.uint64) * _ODD + start.astype(np.uint64))
     return pa.RecordBatch.from_pydict(
         {
@@ -136,8 +173,8 @@ def _preaggregated(anchor, segment, id_, hash_, start, n) -> pa.RecordBatch:
     )
 
 
-def _cut_segments(hot: int, window: int):
-    """Words of the listed segments; with `hot`, their windows by hash."""
+def _cut_segments(window: int):
+    """Words of the listed segments; of crowded anchors their windows, by hash."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, group in text_groups(batches):
@@ -146,29 +183,21 @@ def _cut_segments(hot: int, window: int):
             for id_, hash_, listed, words in zip(*columns, _word_hashes(group)):
                 for segment in listed:
                     at, end = segment["start"], segment["start"] + segment["n"]
-                    if hot:
+                    if segment["crowded"]:
                         starts = np.arange(at, end - window + 1)
                         one, two = (span_hashes(words[at:end], starts - at, starts - at + window, b) for b in (_BASE, _INVERSE))
-                        parts.append((one, two, np.full(len(starts), id_), np.full(len(starts), hash_), starts))
+                        lengths = np.ones(len(starts), np.int64)
                     else:
-                        parts.append((segment["anchor"], id_, hash_, at, words[at:end].view(np.int64)))
-            if parts and hot:
-                one, two, id_, hash_, start = (np.concatenate(column) for column in zip(*parts))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "hash1": one.view(np.int64),
-                        "hash2": two.view(np.int64),
-                        "id": id_,
-                        "text_hash": hash_.astype(np.int32),
-                        "start": start.astype(np.int32),
-                    }
-                )
-            elif parts:
-                anchor, id_, hash_, start, words = zip(*parts)
-                ends = np.concatenate([[0], np.cumsum([len(own) for own in words])]).astype(np.int32)
-                arrays = [pa.array(anchor, pa.int64()), pa.array(id_, pa.int64()), pa.array(hash_, pa.int32()), pa.array(start, pa.int32())]
-                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words))))
-                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "id", "text_hash", "start", "words"])
+                        one, two, starts = np.array([segment["anchor"]]), words[at:end], np.array([at])
+                        lengths = np.array([end - at])
+                    parts.append((one.view(np.int64), np.full(len(starts), id_), np.full(len(starts), hash_), starts, lengths,
+                                  two.view(np.int64), np.full(len(starts), segment["crowded"])))
+            if parts:
+                key, id_, hash_, start, lengths, words, crowded = (np.concatenate(column) for column in zip(*parts))
+                ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                arrays = [pa.array(key), pa.array(id_), pa.array(hash_.astype(np.int32)), pa.array(start.astype(np.int32))]
+                arrays += [pa.ListArray.from_arrays(pa.array(ends), pa.array(words)), pa.array(crowded)]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "id", "text_hash", "start", "words", "crowded"])
 
     return of_batches
 
@@ -269,41 +298,35 @@ def _sources(docs: DataFrame) -> DataFrame:
 
 
 def _copies(sources: DataFrame) -> DataFrame:
-    """hash1, hash2 and first id of texts that more than one id has."""
+    """Documents (of, of_hash) whose text has a smaller id too."""
     keyed = sources.where("text IS NOT NULL").select(
-        "id", F.xxhash64("text").alias("hash1"), F.xxhash64("text", F.lit(1)).alias("hash2")
-    )
-    groups = keyed.groupBy("hash1", "hash2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    return saved(groups.where("first <> last").select("hash1", "hash2", "first"), "substring-copies")
-
-
-def _marked(sources: DataFrame, copies: DataFrame) -> DataFrame:
-    """sources with `copy`: the same text has a smaller id too."""
-    known = checked(copies)
-    hashed = sources.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64("text", F.lit(1)))
-    joined = hashed.join(known, (F.col("h1") == F.col("hash1")) & (F.col("h2") == F.col("hash2")), "left")
-    return joined.select("id", "text_hash", "text", F.coalesce(F.col("id") > F.col("first"), F.lit(False)).alias("copy"))
-
-
-def _listed(originals: DataFrame, rows: DataFrame, label: str) -> DataFrame:
-    """Documents with the segments that rows lists for them."""
-    listed = saved(
-        rows.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "anchor", "start", "n")
-        .distinct()
-        .groupBy("of", "of_hash")
-        .agg(F.collect_list(F.struct("anchor", "start", "n")).alias("listed")),
-        label,
+        "id", "text_hash", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")
     )
-    few = checked(listed, LIST_CELLS)
-    joined = originals.join(few, same(originals, few, [("id", "of"), ("text_hash", "of_hash")]))
-    return joined.select("id", "text_hash", "listed", "text")
+    groups = keyed.groupBy(F.col("h1").alias("hash1"), F.col("h2").alias("hash2"))
+    groups = groups.agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    groups = checked(saved(groups.select("hash1", "hash2", "first"), "substring-texts"))
+    later = keyed.join(groups, (F.col("h1") == F.col("hash1")) & (F.col("h2") == F.col("hash2"))).where("id > first")
+    return saved(later.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash")).distinct(), "substring-copies")
+
+
+def _with_places(sources: DataFrame, places: DataFrame, how: str, bound: int) -> DataFrame:
+    """Documents joined with what is known of them: the only way in which texts move."""
+    few = checked(places, bound)
+    return sources.join(few, same(sources, few, [("id", "of"), ("text_hash", "of_hash")]), how)
+
+
+def _listed(compared: DataFrame, most: int) -> DataFrame:
+    """The segments to compare of each document."""
+    segment = F.struct("anchor", "start", "n", (F.col("segments") > most).alias("crowded"))
+    listed = compared.groupBy(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"))
+    return saved(listed.agg(F.collect_list(segment).alias("listed")), "substring-listed")
 
 
 def repeated_spans(
     sources: DataFrame, copies: DataFrame, window: int = WINDOW, most: int = MOST_SEGMENTS
 ) -> DataFrame:
     """id, text_hash and spans (start, end, in words) of repeated windows in first copies."""
-    originals = _marked(sources, copies).where("NOT copy")
+    originals = _with_places(sources, copies, "left_anti", BROADCAST_CELLS)
     found = originals.select("id", "text_hash", "text").mapInArrow(_find_anchors(window), _ANCHORS)
     by_segment = Window.partitionBy("anchor", "segment").orderBy("id", "text_hash", "start")
     place = F.struct("id", "text_hash", "start")
@@ -327,24 +350,22 @@ def repeated_spans(
         firsts.join(few, firsts["anchor"] == few["its_anchor"]).drop("its_anchor"), "substring-compared"
     )
 
-    usual = _listed(originals, compared.where(F.col("segments") <= most), "substring-usual")
+    listed = _with_places(sources, _listed(compared, most), "inner", LIST_CELLS)
+    cut = listed.select("id", "text_hash", "listed", "text").mapInArrow(_cut_segments(window), _CUT)
+    if compared.where(F.col("segments") > most).limit(1).count():
+        cut = saved(cut, "substring-cut")
+        windows = cut.where("crowded").withColumn("other", F.col("words")[0])
+        groups = windows.groupBy("key", "other").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
+        groups = groups.select(F.col("key").alias("h1"), F.col("other").alias("h2"), "first")
+        later = windows.join(groups, (F.col("key") == F.col("h1")) & (F.col("other") == F.col("h2"))).where(place != F.col("first"))
+        again = again.union(later.select("id", "text_hash", "start", F.lit(window).alias("n")))
     shards = (
-        usual.mapInArrow(_cut_segments(0, window), _SEGMENTS)
-        .repartition("anchor")
-        .sortWithinPartitions("anchor", "id", "text_hash", "start")
+        cut.where("NOT crowded")
+        .select("key", "id", "text_hash", "start", "words")
+        .repartition("key")
+        .sortWithinPartitions("key", "id", "text_hash", "start")
     )
     spans = again.union(shards.mapInPandas(_match_segments(window), "id long, text_hash int, start int, n int"))
-
-    crowded = compared.where(F.col("segments") > most)
-    if crowded.limit(1).count():
-        windows = saved(
-            _listed(originals, crowded, "substring-crowded").mapInArrow(_cut_segments(1, window), _WINDOWS),
-            "substring-windows",
-        )
-        groups = windows.groupBy("hash1", "hash2").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
-        groups = groups.select(F.col("hash1").alias("h1"), F.col("hash2").alias("h2"), "first")
-        later = windows.join(groups, (F.col("hash1") == F.col("h1")) & (F.col("hash2") == F.col("h2"))).where(place != F.col("first"))
-        spans = spans.union(later.select("id", "text_hash", "start", F.lit(window).alias("n")))
     return saved(_merged(spans), "substring-spans")
 
 
@@ -362,11 +383,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Fa
     sources = _sources(docs)
     copies = _copies(sources)
     spans = repeated_spans(sources, copies, window)
-    few = checked(spans.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "spans"), LIST_CELLS)
-    marked = _marked(sources, copies)
-    joined = marked.join(few, same(marked, few, [("id", "of"), ("text_hash", "of_hash")]), "left").select(
-        "id", "text", "copy", "spans"
-    )
+    known = spans.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "spans", F.lit(False).alias("copy"))
+    known = known.unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
+    joined = _with_places(sources, known, "left", LIST_CELLS).select("id", "text", "copy", "spans")
     fields = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
