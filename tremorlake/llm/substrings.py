@@ -4,25 +4,25 @@ What a document is compared with is the corpus before it, so the reference grows
 with the input and no automaton of all of it could be broadcast. It is cut into
 shards that fit a task, and only what can match is brought to a shard:
 
-1. Exact copies of a text are known by its hash; only the first copy goes on.
-2. Of every window of words the least hash among its short shingles is its anchor.
+1. Of every window of words the least hash among its short shingles is its anchor.
    Equal windows have equal anchors, and neighbouring windows mostly share one, so
    a document has about one anchor per eight words. The windows of one anchor form
    a segment, known by a hash.
-3. A segment equal to an earlier one is repeated as a whole. Inside a task such
+2. A segment equal to an earlier one is repeated as a whole. Inside a task such
    segments are found before anything is shuffled, among the texts of a group and by
    a table of the segments met before, so a passage that is in a third of all
    documents arrives as about one row per task.
-4. First segments of anchors that have several go to the shard of the anchor. There
+3. First segments of anchors that have several go to the shard of the anchor. There
    they pass through a suffix automaton of the segments before them, in order:
    where the matching statistic reaches the window length, the window is repeated.
    Then the segment is added to the automaton.
-5. Anchors with more segments than a shard holds (a short phrase everywhere) take
+4. Anchors with more segments than a shard holds (a short phrase everywhere) take
    another way: their windows are compared by hash, by aggregation.
 
-The spans found are merged and cut from the texts. Texts meet lists of places three
-times, always by document: copies before 2, segments before 4 and 5, spans at the end.
-Lists over a bound are joined by shuffling, texts along with them.
+The spans found are merged and cut from the texts. A copy of a text needs no rule of
+its own, all its segments are repeated. Texts meet lists of places twice, segments before
+3 and 4 and spans at the end; both grow with the corpus and are joined by shuffling
+whatever their size, as are segments with the anchors that have several.
 """
 
 from __future__ import annotations
@@ -37,14 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import BROADCAST_CELLS, checked, same, saved, text_groups, word_numbers
+from tremorlake.llm.common import same, saved, text_groups, word_numbers
 
 WINDOW = 20
 SHINGLE = 5
 # Segments of one anchor that go through an automaton in one task.
 MOST_SEGMENTS = 1000
-# Lists of places are broadcast up to this many numbers, about 50 MB.
-LIST_CELLS = 4_000_000
 # Slots of a task's table of segments met, 32 bytes each.
 SLOTS = 1 << 18
 
@@ -148,10 +146,24 @@ def _find_anchors(window: int):
     return of_batches
 
 
+def _runs(id_, hash_, start, n) -> tuple[np.ndarray, ...]:
+    """Known segments, those that touch as one, under keys that nothing else has."""
+    order = np.lexsort((start, hash_, id_))
+    id_, hash_, start, n = (x[order] for x in (id_, hash_, start, n))
+    # Segments of a text end in the order in which they start.
+    ends = start + n
+    new = np.ones(len(id_), bool)
+    new[1:] = (id_[1:] != id_[:-1]) | (hash_[1:] != hash_[:-1]) | (start[1:] > ends[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(id_))[: len(first)] - 1
+    id_, hash_, start = id_[first], hash_[first], start[first]
+    own = _mixed(id_.astype(np.uint64) * _ODD + start.astype(np.uint64))
+    return own, own, id_, hash_, start, ends[last] - start
+
+
 def _preaggregated(met: Met, anchor, segment, id_, hash_, start, n) -> pa.RecordBatch:
     """Rows of a group of texts. Those equal to an earlier one of the group or of those met
-    before are known to be repeated (`local`); they get keys of their own, so that they don't
-    meet later."""
+    before are known to be repeated (`local`); those that touch become one row."""
     order = np.lexsort((start, hash_, id_, segment, anchor))
     anchor, segment, id_, hash_, start, n = (x[order] for x in (anchor, segment, id_, hash_, start, n))
     new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])])
@@ -159,16 +171,17 @@ def _preaggregated(met: Met, anchor, segment, id_, hash_, start, n) -> pa.Record
     first = firsts[of]
     known = met.earlier(*(x[firsts] for x in (anchor, segment, id_, hash_, start)))
     local = known[of] | (id_ != id_[first]) | (hash_ != hash_[first]) | (start != start[first])
-    own = _mixed(id_.astype(np.uint64) * _ODD + start.astype(np.uint64))
+    columns = [np.concatenate([x[~local], y]) for x, y in zip((anchor, segment, id_, hash_, start, n), _runs(id_[local], hash_[local], start[local], n[local]))]
+    anchor, segment, id_, hash_, start, n = columns
     return pa.RecordBatch.from_pydict(
         {
-            "anchor": np.where(local, own, anchor).view(np.int64),
+            "anchor": anchor.view(np.int64),
             "segment": segment.view(np.int64),
             "id": id_,
             "text_hash": hash_.astype(np.int32),
             "start": start.astype(np.int32),
             "n": n.astype(np.int32),
-            "local": local,
+            "local": np.arange(len(id_)) >= np.count_nonzero(~local),
         }
     )
 
@@ -297,22 +310,10 @@ def _sources(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("text").alias("text_hash"), "text")
 
 
-def _copies(sources: DataFrame) -> DataFrame:
-    """Documents (of, of_hash) whose text has a smaller id too."""
-    keyed = sources.where("text IS NOT NULL").select(
-        "id", "text_hash", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")
-    )
-    groups = keyed.groupBy(F.col("h1").alias("hash1"), F.col("h2").alias("hash2"))
-    groups = groups.agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
-    groups = checked(saved(groups.select("hash1", "hash2", "first"), "substring-texts"))
-    later = keyed.join(groups, (F.col("h1") == F.col("hash1")) & (F.col("h2") == F.col("hash2"))).where("id > first")
-    return saved(later.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash")).distinct(), "substring-copies")
-
-
-def _with_places(sources: DataFrame, places: DataFrame, how: str, bound: int) -> DataFrame:
+def _with_places(sources: DataFrame, places: DataFrame, how: str) -> DataFrame:
     """Documents joined with what is known of them: the only way in which texts move."""
-    few = checked(places, bound)
-    return sources.join(few, same(sources, few, [("id", "of"), ("text_hash", "of_hash")]), how)
+    places = places.hint("merge")
+    return sources.join(places, same(sources, places, [("id", "of"), ("text_hash", "of_hash")]), how)
 
 
 def _listed(compared: DataFrame, most: int) -> DataFrame:
@@ -322,12 +323,9 @@ def _listed(compared: DataFrame, most: int) -> DataFrame:
     return saved(listed.agg(F.collect_list(segment).alias("listed")), "substring-listed")
 
 
-def repeated_spans(
-    sources: DataFrame, copies: DataFrame, window: int = WINDOW, most: int = MOST_SEGMENTS
-) -> DataFrame:
-    """id, text_hash and spans (start, end, in words) of repeated windows in first copies."""
-    originals = _with_places(sources, copies, "left_anti", BROADCAST_CELLS)
-    found = originals.select("id", "text_hash", "text").mapInArrow(_find_anchors(window), _ANCHORS)
+def repeated_spans(sources: DataFrame, window: int = WINDOW, most: int = MOST_SEGMENTS) -> DataFrame:
+    """id, text_hash and spans (start, end, in words) of repeated windows of each document that has some."""
+    found = sources.select("id", "text_hash", "text").mapInArrow(_find_anchors(window), _ANCHORS)
     by_segment = Window.partitionBy("anchor", "segment").orderBy("id", "text_hash", "start")
     place = F.struct("id", "text_hash", "start")
     ranked = saved(
@@ -338,19 +336,13 @@ def repeated_spans(
     )
     again = ranked.where("again").select("id", "text_hash", "start", "n")
 
-    firsts = ranked.where("NOT again").select("anchor", "id", "text_hash", "start", "n").distinct()
-    several = saved(
-        ranked.where("NOT again").groupBy("anchor").agg(F.count("*").alias("segments")).where("segments > 1").select(
-            F.col("anchor").alias("its_anchor"), "segments"
-        ),
-        "substring-several",
-    )
-    few = checked(several, LIST_CELLS)
+    firsts = ranked.where("NOT again").select("anchor", "id", "text_hash", "start", "n")
+    several = firsts.groupBy(F.col("anchor").alias("its_anchor")).agg(F.count("*").alias("segments")).where("segments > 1").hint("merge")
     compared = saved(
-        firsts.join(few, firsts["anchor"] == few["its_anchor"]).drop("its_anchor"), "substring-compared"
+        firsts.join(several, firsts["anchor"] == several["its_anchor"]).drop("its_anchor").distinct(), "substring-compared"
     )
 
-    listed = _with_places(sources, _listed(compared, most), "inner", LIST_CELLS)
+    listed = _with_places(sources, _listed(compared, most), "inner")
     cut = listed.select("id", "text_hash", "listed", "text").mapInArrow(_cut_segments(window), _CUT)
     if compared.where(F.col("segments") > most).limit(1).count():
         cut = saved(cut, "substring-cut")
@@ -381,23 +373,18 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Fa
     empty table gives no rows. Only doc_id and text are looked at.
     """
     sources = _sources(docs)
-    copies = _copies(sources)
-    spans = repeated_spans(sources, copies, window)
-    known = spans.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "spans", F.lit(False).alias("copy"))
-    known = known.unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
-    joined = _with_places(sources, known, "left", LIST_CELLS).select("id", "text", "copy", "spans")
+    spans = repeated_spans(sources, window).select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "spans")
+    joined = _with_places(sources, spans, "left").select("id", "text", "spans")
     fields = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_groups(batches):
             results = []
-            columns = (rows.column(name).to_pylist() for name in ("id", "copy", "spans"))
-            for id_, copy, own, text in zip(*columns, texts):
+            columns = (rows.column(name).to_pylist() for name in ("id", "spans"))
+            for id_, own, text in zip(*columns, texts):
                 words = text.split()
                 n = len(words)
-                if copy:
-                    words = words if n < window else []
-                elif own is not None:
+                if own is not None:
                     keep, at = [], 0
                     for span in sorted(own, key=lambda span: span["start"]):
                         keep += words[at : span["start"]]
