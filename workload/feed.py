@@ -6,11 +6,16 @@ the same in Spark and DuckDB, so queries and their SQL share one definition.
 A document holds the features of one day and one block of consecutive event
 ids. The event id is the key of `events`, so a document never holds more than
 `BLOCK` features, however many events a day, user or type has.
+
+Events are grouped as they are and become text where their document is written:
+the text of a feature is some twenty times as long as what it says of its event.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -112,39 +117,47 @@ def flat_features(events: DataFrame) -> DataFrame:
     return events.selectExpr(*properties, "'Point' AS geometry_type", *position)
 
 
-def _properties(rough: bool, faults: bool) -> list[Column]:
-    fields = {name: F.expr(sql) for name, sql in {**EXPRESSIONS, **SPARK_TIMES}.items()}
+# What a feature needs of its event, and a name or a literal in the SQL above.
+FACTS = ("event_id", "event_ms", "user_id", "event_type", "value")
+_TOKEN = re.compile(rf"'[^']*'|\b(?:{'|'.join(FACTS)})\b")
+
+# Times of a feature, out of the facts of its event.
+FEATURE_TIMES = {"time": "event_ms", "updated": f"event_ms + {UPDATE_DELAY_MS}"}
+
+
+def _of_event(sql: str) -> str:
+    """An expression over columns as one over the fields of a struct `event`."""
+    return _TOKEN.sub(lambda token: token[0] if token[0].startswith("'") else f"event.{token[0]}", sql)
+
+
+def _properties(rough: bool, faults: bool) -> str:
+    fields = {**EXPRESSIONS, **FEATURE_TIMES}
     if rough:
-        fields |= {name: F.parse_json(F.expr(sql)) for name, sql in ROUGH_LEAVES.items()}
+        fields |= {name: f"parse_json({sql})" for name, sql in ROUGH_LEAVES.items()}
     if faults:
-        fields["place"] = F.when(~F.expr(PLACE_NULL), F.expr(PLACE))
-    return [column.alias(name) for name, column in fields.items()]
+        fields["place"] = f"CASE WHEN NOT ({PLACE_NULL}) THEN {PLACE} END"
+    return ", ".join(f"{sql} AS {name}" for name, sql in fields.items())
 
 
-def _position(faults: bool) -> Column:
-    position = F.array(*(F.expr(POSITION[name]) for name in COORDINATES))
+def _position(faults: bool) -> str:
+    position = f"array({', '.join(POSITION[name] for name in COORDINATES)})"
     if faults:
-        position = F.when(F.expr(SHORT_POSITION), F.slice(position, 1, 2)).otherwise(position)
+        position = f"CASE WHEN {SHORT_POSITION} THEN slice({position}, 1, 2) ELSE {position} END"
     return position
 
 
-def _feature_json(rough: bool, faults: bool) -> Column:
+def _feature_json(rough: bool, faults: bool) -> str:
     """The feature of an event as JSON text; a null field is written as null."""
-    geometry = F.struct(F.lit("Point").alias("type"), _position(faults).alias("coordinates"))
+    geometry = f"struct('Point' AS type, {_position(faults)} AS coordinates)"
     if faults:
-        geometry = F.when(~F.expr(GEOMETRY_NULL), geometry)
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*_properties(rough, faults)).alias("properties"),
-        geometry.alias("geometry"),
-        F.expr("concat('', event_id)").alias("id"),
-    )
-    text = F.to_json(feature, {"ignoreNullFields": "false"})
+        geometry = f"CASE WHEN NOT ({GEOMETRY_NULL}) THEN {geometry} END"
+    text = f"""to_json(
+        struct('Feature' AS type, struct({_properties(rough, faults)}) AS properties,
+               {geometry} AS geometry, concat('', event_id) AS id),
+        map('ignoreNullFields', 'false'))"""
     if rough:
-        text = F.when(
-            F.expr(BARE),
-            F.expr("""concat('{"type":"Feature","properties":{},"geometry":{},"id":"', event_id, '"}')"""),
-        ).otherwise(text)
+        bare = """concat('{"type":"Feature","properties":{},"geometry":{},"id":"', event_id, '"}')"""
+        text = f"CASE WHEN {BARE} THEN {bare} ELSE {text} END"
     return text
 
 
@@ -163,15 +176,16 @@ def documents(events: DataFrame, rough: bool = False, faults: bool = True) -> Da
             "block": F.expr(f"event_id div {BLOCK}"),
         }
     )
-    features = timed.select("feed_day", "block", "event_id", _feature_json(rough, faults).alias("feature"))
-    grouped = features.groupBy("feed_day", "block").agg(
-        F.array_sort(F.collect_list(F.struct("event_id", "feature"))).alias("features")
-    )
+    grouped = timed.groupBy("feed_day", "block").agg(F.collect_list(F.struct(*FACTS)).alias("events"))
+    # Facts are shuffled, not text. A document is in the order of event id and text.
+    written = _of_event(f"struct(event_id, {_feature_json(rough, faults)} AS feature)")
+    features = f"array_sort(transform(events, event -> {written}))"
+    grouped = grouped.withColumn("features", F.expr(features))
     head = F.concat(
         F.lit('{"type":"FeatureCollection",\n"metadata":{"generated":'),
         F.unix_millis(F.col("feed_day").cast("timestamp")),
         F.lit(',"url":"https://feed.example/day","title":"Events of a day","status":200,"api":"1","count":'),
-        F.array_size("features"),
+        F.array_size("events"),
         F.lit('},\n"'),
     )
     listed = F.concat(

@@ -24,6 +24,10 @@ from workload import feed
 RUN_DATE = dt.date(2024, 1, 30)
 AS_OF = RUN_DATE
 
+# Bytes of staged documents in a row group, compressed. Parquet is read in batches of rows that
+# end with their row group; a batch of the usual one would hold thousands of whole documents.
+STAGED_GROUP = 8 << 20
+
 
 def _feed_name(rough: bool, faults: bool) -> str:
     return "" if not rough else "rough_" if faults else "mixed_"
@@ -64,7 +68,7 @@ class Store:
         key = _feed_name(rough, faults) + "staged"
         if key not in self._done:
             path = self.fresh(key)
-            feed.documents(self.events, rough, faults).write.parquet(path)
+            feed.documents(self.events, rough, faults).write.option("parquet.block.size", STAGED_GROUP).parquet(path)
             self._done[key] = path
         return self.spark.read.schema("value string").parquet(self._done[key])
 
