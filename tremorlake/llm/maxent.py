@@ -13,6 +13,7 @@ all share; the steps of a row are averaged by how often a task met it.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -103,9 +104,12 @@ class Words(dict):
         """The tokens of each text as numbers: words in lower case, then the end."""
         found = []
         for text in group:
-            parts = [list(map(self.__getitem__, piece.split())) for piece in pieces(text.lower())]
-            parts.append([self[_END]])
-            found.append(np.concatenate([np.array(part, np.int64) for part in parts]))
+            parts = []
+            for piece in pieces(text.lower()):
+                words = piece.split()
+                parts.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+            parts.append(np.array([self[_END]], np.int64))
+            found.append(np.concatenate(parts))
         return found
 
 
@@ -249,13 +253,31 @@ def _biases(model: Model) -> tuple[np.ndarray, np.ndarray]:
     return np.log(of_class[:, 0] / of_class.sum()).astype(np.float32)[None], np.log(mass / of_class).astype(np.float32)
 
 
-def _logits(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+class Room:
+    """Arrays that are used again: memory that is new costs more than the sums made in it."""
+
+    def __init__(self):
+        self._kept: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, shape: tuple[int, ...], dtype: type = np.float32) -> np.ndarray:
+        """An array of any content."""
+        size = math.prod(shape)
+        if name not in self._kept or self._kept[name].size < size:
+            self._kept[name] = np.empty(size, dtype)
+        return self._kept[name][:size].reshape(shape)
+
+
+def _logits(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, which: np.ndarray | None, room: Room) -> np.ndarray:
     """Sums of the rows of a slice of tokens over their bias. Biases are logs of shares and
-    steps shrink, so they are far from where an exponential overflows; a bound makes sure."""
-    logits = weights.take(rows[0], axis=0)
+    steps shrink, so they are far from where an exponential overflows; a bound makes sure.
+
+    Rows are masked by the sizes of tables, so none is clipped.
+    """
+    logits, more = (room.array(name, (rows.shape[1], weights.shape[1])) for name in ("logits", "more"))
+    weights.take(rows[0], axis=0, out=logits, mode="clip")
     for of_feature in rows[1:]:
-        logits += weights.take(of_feature, axis=0)
-    logits += bias
+        logits += weights.take(of_feature, axis=0, out=more, mode="clip")
+    logits += bias if which is None else bias.take(which, axis=0, out=more, mode="clip")
     return np.minimum(logits, 80, out=logits)
 
 
@@ -265,41 +287,72 @@ def _slices(n: int) -> Iterator[slice]:
         yield slice(low, low + _SLICE)
 
 
-def _log_odds(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each target."""
+def _of(which: np.ndarray | None, part: slice) -> np.ndarray | None:
+    return None if which is None else which[part]
+
+
+def _log_odds(
+    weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray, which: np.ndarray | None, room: Room
+) -> np.ndarray:
+    """Natural log of the probability of each target; `which` row of the biases is a token's."""
     found = np.empty(len(target))
     for part in _slices(len(target)):
-        logits = _logits(weights, rows[:, part], bias[part] if len(bias) > 1 else bias)
+        logits = _logits(weights, rows[:, part], bias, _of(which, part), room)
         chosen = logits[np.arange(len(logits)), target[part]]
         np.exp(logits, out=logits)
         found[part] = chosen - np.log(logits @ np.ones(logits.shape[1], np.float32))
     return found
 
 
-def _gradient(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Probability of each output less 1 for the target: a row for each output."""
-    found = np.empty((weights.shape[1], len(target)))
+def _gradient(
+    weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray, which: np.ndarray | None, room: Room
+) -> np.ndarray:
+    """Probability of each output less 1 for the target. A row holds two outputs, as the real
+    and the imaginary parts, so that one sum does for both: their number is even."""
+    width = weights.shape[1]
+    found = room.array("gradient", (width // 2, len(target)), np.complex128)
     for part in _slices(len(target)):
-        logits = _logits(weights, rows[:, part], bias[part] if len(bias) > 1 else bias)
+        logits = _logits(weights, rows[:, part], bias, _of(which, part), room)
         np.exp(logits, out=logits)
-        logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
+        logits /= (logits @ np.ones(width, np.float32))[:, None]
         logits[np.arange(len(logits)), target[part]] -= 1
-        found[:, part] = logits.T
+        found[:, part] = logits.view(np.complex64).T
     return found
 
 
-def _descend(weights: np.ndarray, squares: np.ndarray, met: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
+def _descend(
+    weights: np.ndarray,
+    squares: np.ndarray,
+    met: np.ndarray,
+    rows: np.ndarray,
+    bias: np.ndarray,
+    target: np.ndarray,
+    which: np.ndarray | None = None,
+    room: Room | None = None,
+) -> None:
     """One gradient step of a table of weights, in place, on a block of tokens.
 
     A step of a row shrinks with the squares of the gradients it has seen.
     """
-    flat = rows.ravel()
-    summed = np.empty_like(weights)
-    for output, of_token in enumerate(_gradient(weights, rows, bias, target)):
-        summed[:, output] = np.bincount(flat, np.tile(of_token, len(rows)), len(weights))
-    squares += summed * summed
-    weights -= RATE * summed / np.sqrt(1 + squares)
-    met += np.bincount(flat, minlength=len(weights))
+    room = room or Room()
+    sums = room.array("sums", (len(weights),), np.complex128)
+    # A row of sums for each two outputs; the padding keeps rows off each other's cache lines.
+    summed = room.array("summed", (weights.shape[1] // 2, len(weights) + 8), np.complex64)[:, : len(weights)]
+    for pair, of_token in enumerate(_gradient(weights, rows, bias, target, which, room)):
+        sums[:] = 0
+        for of_feature in rows:
+            np.add.at(sums, of_feature, of_token)
+        summed[pair] = sums
+    for part in _slices(len(weights)):
+        step = np.ascontiguousarray(summed[:, part].T).view(np.float32)
+        scale = step * step
+        squares[part] += scale
+        np.add(squares[part], 1, out=scale)
+        np.sqrt(scale, out=scale)
+        step *= RATE
+        step /= scale
+        weights[part] -= step
+    met += np.bincount(rows.ravel(), minlength=len(weights))
 
 
 def _update(shared: Broadcast):
@@ -311,15 +364,15 @@ def _update(shared: Broadcast):
         squares = [np.zeros_like(model.classes), np.zeros_like(model.members)]
         met = [np.zeros(len(weights), np.int64) for weights in squares]
         class_bias, member_bias = _biases(model)
-        reader = Reader(model.vocabulary)
+        reader, room = Reader(model.vocabulary), Room()
         for _, group in text_groups(batches):
             tokens = reader.read(group)
             for low in range(0, len(tokens.word), _STEP):
                 part = slice(low, low + _STEP)
                 in_classes, in_members = tokens.rows(part, model)
                 of_class, member = np.divmod(tokens.output[part], model.members.shape[1])
-                _descend(model.classes, squares[0], met[0], in_classes, class_bias, of_class)
-                _descend(model.members, squares[1], met[1], in_members, member_bias[of_class], member)
+                _descend(model.classes, squares[0], met[0], in_classes, class_bias, of_class, None, room)
+                _descend(model.members, squares[1], met[1], in_members, member_bias, member, of_class, room)
         for table, (new, old) in enumerate([(model.classes, start.classes), (model.members, start.members)]):
             touched = np.flatnonzero(met[table])
             moved = (new - old)[touched]
@@ -378,7 +431,7 @@ def _scored(shared: Broadcast, id_type: str):
         log_mass = np.log10(np.maximum(known.mass, 1e-6))
         log_mass[: known.owned] = 0
         count = np.append(known.count, 0)  # for the words that are not frequent
-        reader = Reader(known)
+        reader, room = Reader(known), Room()
         for batch, group in text_groups(batches):
             tokens = reader.read(group)
             log_model = np.empty(len(tokens.word))
@@ -386,8 +439,8 @@ def _scored(shared: Broadcast, id_type: str):
                 part = slice(low, low + _STEP)
                 in_classes, in_members = tokens.rows(part, model)
                 of_class, member = np.divmod(tokens.output[part], model.members.shape[1])
-                found = _log_odds(model.classes, in_classes, class_bias, of_class)
-                found += _log_odds(model.members, in_members, member_bias[of_class], member)
+                found = _log_odds(model.classes, in_classes, class_bias, of_class, None, room)
+                found += _log_odds(model.members, in_members, member_bias, member, of_class, room)
                 log_model[part] = found / np.log(10)
             learnt = count[tokens.frequent]
             rare = tokens.frequent < 0
