@@ -1,8 +1,10 @@
-"""Gradient steps of op11 against plain sums, and the memory they take."""
+"""Tokens and gradient steps of op11 against plain ones, and the memory they take."""
 
 import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tremorlake.llm import maxent
@@ -66,3 +68,49 @@ def test_words_of_a_long_text_are_numbered_by_pieces(monkeypatch):
     cut = maxent.Words()
     assert [part.tolist() for part in cut.tokens([text, b""])] == [part.tolist() for part in expected]
     assert cut.spelled == whole.spelled == [b"one", b"two", b"three", b"four", maxent._END]
+
+
+ODD = ["", " ", "\tLeading and  trailing\r\n", "É é \x1c\x85 \x00 ÀA", "one ONE two", "x" * 40 + " y ", "one\x0b\x0ctwo one"]
+
+
+def plain_tokens(text):
+    return [*text.encode().lower().split(), maxent._END]
+
+
+def test_tokens_take_no_python_object_each():
+    """Before, each word was an object in a dictionary: about 200 bytes a token here."""
+    text = b" ".join(b"word%06d" % number for number in range(100_000))
+    tracemalloc.start()
+    try:
+        (found,) = maxent.Words().tokens([text])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.tolist() == list(range(100_001))
+    assert peak < 80 * len(found)
+
+
+@pytest.mark.parametrize("limit", [1, 4, 1 << 20])
+def test_tokens_of_odd_texts(monkeypatch, limit):
+    monkeypatch.setattr(maxent.pieces, "__defaults__", (limit,))
+    words = maxent.Words()
+    numbers = words.tokens([text.encode() for text in ODD])
+    assert [[words.spelled[i] for i in found] for found in numbers] == [plain_tokens(text) for text in ODD]
+    assert len(set(words.spelled)) == len(words.spelled) == len({word for text in ODD for word in plain_tokens(text)})
+
+
+@pytest.mark.parametrize("distinct", [1, 4, 300_000])
+def test_counts_of_a_task(monkeypatch, distinct):
+    """Counts are whole however often a task hands over what it has."""
+    monkeypatch.setattr(maxent, "_DISTINCT", distinct)
+    texts = [[text] * (1 + number) for number, text in enumerate(ODD)]
+    batches = [pa.record_batch([pa.array(same), pa.array([i % 2 == 1 for i in range(len(same))])], ["text", "held_out"]) for same in texts]
+    total, learnt = Counter(), Counter()
+    for batch in maxent._counted(batches):
+        words = batch.column("word").to_pylist()
+        assert len(set(words)) == len(words)
+        for word, of_all, of_learnt in zip(words, batch.column("total").to_pylist(), batch.column("learnt").to_pylist()):
+            total[word] += of_all
+            learnt[word] += of_learnt
+    assert total == Counter(word for same in texts for text in same for word in plain_tokens(text))
+    assert +learnt == Counter(word for same in texts for text in same[::2] for word in plain_tokens(text))

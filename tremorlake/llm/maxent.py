@@ -17,9 +17,11 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -89,54 +91,62 @@ def pieces(text: bytes, limit: int = _PIECE) -> Iterator[bytes]:
     yield text[start:]
 
 
-class Words(dict):
-    """Numbers the distinct words of the texts a task has seen."""
+class Words:
+    """The distinct words of a group of texts, numbered as they come.
+
+    They stay in Arrow: a Python object for each token costs more than the sums over it.
+    """
 
     def __init__(self):
-        self.spelled: list[bytes] = []
+        self.distinct = pa.array([], pa.binary())
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.spelled.append(word)
-        return number
+    @property
+    def spelled(self) -> list[bytes]:
+        return self.distinct.to_numpy(zero_copy_only=False).tolist()
 
     def tokens(self, group: list[bytes]) -> list[np.ndarray]:
         """The tokens of each text as numbers: words in lower case, then the end."""
-        found = []
-        for text in group:
-            parts = []
-            for piece in pieces(text.lower()):
-                words = piece.split()
-                parts.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
-            parts.append(np.array([self[_END]], np.int64))
-            found.append(np.concatenate(parts))
-        return found
+        parts = [list(pieces(text.lower() + b" ")) for text in group]
+        # Blanks are the six of ASCII here. At the ends of a piece they leave an empty word:
+        # after the last piece of a text it is the end, the others are none.
+        lists = pc.ascii_split_whitespace(pa.array(chain.from_iterable(parts), pa.binary()).view(pa.string()))
+        words = lists.flatten()
+        ends = lists.offsets.to_numpy()[np.cumsum([len(of_text) for of_text in parts])] - 1
+        is_token = pc.binary_length(words).to_numpy() > 0
+        is_token[ends] = True
+        found = words.filter(pa.array(is_token)).dictionary_encode()
+        self.distinct = found.dictionary.view(pa.binary())
+        return np.split(found.indices.to_numpy().astype(np.int64), np.cumsum(is_token)[ends[:-1]])
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the words of a task, in all its documents and in the training ones."""
-
-    def rows() -> pa.RecordBatch:
-        arrays = [pa.array(seen.spelled, pa.binary()), pa.array(total), pa.array(learnt)]
-        return pa.RecordBatch.from_arrays(arrays, names=["word", "total", "learnt"])
-
-    seen, total, learnt = Words(), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    seen, n_seen = [], 0
     for batch, group in text_groups(batches):
         held_out = np.array(batch.column("held_out").to_pylist(), bool)
-        numbers = seen.tokens(group)
-        total, learnt = (np.pad(old, (0, len(seen) - len(old))) for old in (total, learnt))
-        total += np.bincount(np.concatenate(numbers), minlength=len(seen))
-        to_learn = [found for found, out in zip(numbers, held_out) if not out]
-        if to_learn:
-            learnt += np.bincount(np.concatenate(to_learn), minlength=len(seen))
-        if len(seen) >= _DISTINCT:
-            yield rows()
-            seen, total, learnt = Words(), total[:0], learnt[:0]
+        words = Words()
+        numbers, n = words.tokens(group), len(words.distinct)
+        to_learn = [np.zeros(0, np.int64), *(found for found, out in zip(numbers, held_out) if not out)]
+        counts = (np.bincount(np.concatenate(of), minlength=n) for of in (numbers, to_learn))
+        seen.append(pa.table([words.distinct, *map(pa.array, counts)], names=["word", "total", "learnt"]))
+        n_seen += n
+        if n_seen >= 2 * _DISTINCT:
+            seen = [_summed(seen)]
+            n_seen = len(seen[0])
+            if n_seen >= _DISTINCT:
+                yield from seen[0].to_batches()
+                seen, n_seen = [], 0
     if seen:
-        yield rows()
+        yield from _summed(seen).to_batches()
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    """Counts of words, each word once."""
+    summed = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("total", "sum"), ("learnt", "sum")])
+    return summed.select(["word", "total_sum", "learnt_sum"]).rename_columns(["word", "total", "learnt"])
+
+
+def _hashes(words: list[bytes] | np.ndarray) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
@@ -169,12 +179,14 @@ def vocabulary(counts: DataFrame, outputs: int = CLASSES * MEMBERS) -> tuple[Voc
 
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Tokens and words of each shared output."""
-        own, mass = set(owners), np.zeros((outputs - owned, 2), np.int64)
+        own, n_shared = pa.array(owners, pa.binary()), outputs - owned
+        tokens, words = np.zeros(n_shared, np.int64), np.zeros(n_shared, np.int64)
         for batch in batches:
-            pairs = [(w, n) for w, n in zip(batch.column("word").to_pylist(), batch.column("learnt").to_pylist()) if w not in own]
-            at = (_hashes([w for w, _ in pairs]) % np.uint64(outputs - owned)).astype(np.int64)
-            np.add.at(mass, at, np.array([(n, 1) for _, n in pairs], np.int64).reshape(-1, 2))
-        arrays = [pa.array(np.arange(len(mass))), pa.array(mass[:, 0].copy()), pa.array(mass[:, 1].copy())]
+            batch = batch.filter(pc.invert(pc.is_in(batch.column("word").cast(pa.binary()), value_set=own)))
+            at = (_hashes(batch.column("word").to_numpy(zero_copy_only=False)) % np.uint64(n_shared)).astype(np.int64)
+            np.add.at(tokens, at, batch.column("learnt").to_numpy())
+            words += np.bincount(at, minlength=n_shared)
+        arrays = [pa.array(np.arange(n_shared)), pa.array(tokens), pa.array(words)]
         yield pa.RecordBatch.from_arrays(arrays, names=["at", "tokens", "words"])
 
     mass = np.zeros(outputs)
@@ -190,6 +202,7 @@ def vocabulary(counts: DataFrame, outputs: int = CLASSES * MEMBERS) -> tuple[Voc
 class Tokens:
     """The tokens of a group of texts in one row, ready for the model."""
 
+    distinct: pa.Array  # the words
     word: np.ndarray  # number of the word
     text: np.ndarray  # number of the text
     frequent: np.ndarray  # number among the frequent words, or -1
@@ -205,29 +218,21 @@ class Tokens:
 
 
 class Reader:
-    """Turns texts into tokens. What it knows of words it keeps, up to a number of words."""
+    """Turns groups of texts into tokens."""
 
     def __init__(self, known: Vocabulary):
         self.known = known
-        self.words = Words()
-        self._of_word = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def _look_up(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, number among the frequent words, and output of each word."""
-        known, new = self.known, self.words.spelled[len(self._of_word[0]) :]
-        hashes = _hashes(new)
-        frequent = np.array([known.frequent.get(word, -1) for word in new], np.int64)
-        shared = known.owned + (hashes % np.uint64(len(known.mass) - known.owned)).astype(np.int64)
-        own = np.append(known.output, -1)[frequent]
-        found = hashes, frequent, np.where(own >= 0, own, shared)
-        self._of_word = tuple(np.concatenate(pair) for pair in zip(self._of_word, found))
-        return self._of_word
+        self._frequent = pa.array(known.frequent, pa.binary())  # in the order of their numbers
+        self._output = np.append(known.output, -1)  # the last for words that are not frequent
 
     def read(self, group: list[bytes]) -> Tokens:
-        if len(self.words) >= _DISTINCT:
-            self.__init__(self.known)
-        numbers = self.words.tokens(group)
-        hashes, frequent, output = self._look_up()
+        known, words = self.known, Words()
+        numbers = words.tokens(group)
+        hashes = _hashes(words.spelled)
+        frequent = pc.index_in(words.distinct, value_set=self._frequent).fill_null(-1).to_numpy().astype(np.int64)
+        shared = known.owned + (hashes % np.uint64(len(known.mass) - known.owned)).astype(np.int64)
+        own = self._output[frequent]
+        output = np.where(own >= 0, own, shared)
         word = np.concatenate(numbers)
         lengths = np.array([len(found) for found in numbers])
         position = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -243,7 +248,7 @@ class Reader:
             for distance in feature:
                 key = (key ^ before[distance]) * np.uint64(_ODD[0])
             features[number] = _mixed(key)
-        return Tokens(word, np.repeat(np.arange(len(group)), lengths), frequent[word], output[word], features)
+        return Tokens(words.distinct, word, np.repeat(np.arange(len(group)), lengths), frequent[word], output[word], features)
 
 
 def _biases(model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -446,13 +451,11 @@ def _scored(shared: Broadcast, id_type: str):
             rare = tokens.frequent < 0
             log_count = np.where(rare, 0, np.log10(learnt + 0.5))
             log_model += np.where(tokens.output >= known.owned, log_count - log_mass[tokens.output], 0)
-            n, n_words = len(group), len(reader.words)
+            n, n_words = len(group), len(tokens.distinct)
             key, times = np.unique(tokens.text[rare] * n_words + tokens.word[rare], return_counts=True)
             of_text, of_word = np.divmod(key, n_words)
-            spelled = reader.words.spelled
-            lists = pa.StructArray.from_arrays(
-                [pa.array([spelled[i] for i in of_word.tolist()], pa.binary()), pa.array(times.astype(np.int64))], names=["word", "n"]
-            )
+            spelled = tokens.distinct.take(pa.array(of_word))
+            lists = pa.StructArray.from_arrays([spelled, pa.array(times.astype(np.int64))], names=["word", "n"])
             offsets = np.searchsorted(of_text, np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
