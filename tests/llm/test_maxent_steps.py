@@ -114,3 +114,20 @@ def test_counts_of_a_task(monkeypatch, distinct):
             learnt[word] += of_learnt
     assert total == Counter(word for same in texts for text in same for word in plain_tokens(text))
     assert +learnt == Counter(word for same in texts for text in same[::2] for word in plain_tokens(text))
+
+
+def test_long_texts_are_numbered_in_runs(monkeypatch):
+    """A long text is not held as a whole by Arrow; runs share their numbers."""
+    group = [text.encode() for text in ODD]
+    whole, cut, sizes = maxent.Words(), maxent.Words(), []
+    expected = [found.tolist() for found in whole.tokens(group)]
+    numbered = maxent._numbered
+    monkeypatch.setattr(maxent, "_numbered", lambda rows: sizes.append(len(rows)) or numbered(rows))
+    monkeypatch.setattr(maxent, "GROUP_BYTES", 40)
+    assert [found.tolist() for found in cut.tokens(group)] == expected
+    assert cut.spelled == whole.spelled and len(sizes) > 3
+    monkeypatch.setattr(maxent, "GROUP_BYTES", 1 << 10)
+    monkeypatch.setattr(maxent.pieces, "__defaults__", (1 << 10,))
+    sizes.clear()
+    (found,) = cut.tokens([b"a few words " * 1000])
+    assert len(found) == 3001 and max(sizes) <= 3

@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import saved, text_groups
+from tremorlake.llm.common import GROUP_BYTES, groups_of, saved, text_groups
 
 CLASSES = 32
 MEMBERS = 32
@@ -106,17 +106,23 @@ class Words:
 
     def tokens(self, group: list[bytes]) -> list[np.ndarray]:
         """The tokens of each text as numbers: words in lower case, then the end."""
-        parts = [list(pieces(text.lower() + b" ")) for text in group]
-        # Blanks are the six of ASCII here. At the ends of a piece they leave an empty word:
-        # after the last piece of a text it is the end, the others are none.
-        lists = pc.ascii_split_whitespace(pa.array(chain.from_iterable(parts), pa.binary()).view(pa.string()))
-        words = lists.flatten()
-        ends = lists.offsets.to_numpy()[np.cumsum([len(of_text) for of_text in parts])] - 1
-        is_token = pc.binary_length(words).to_numpy() > 0
-        is_token[ends] = True
-        found = words.filter(pa.array(is_token)).dictionary_encode()
-        self.distinct = found.dictionary.view(pa.binary())
-        return np.split(found.indices.to_numpy().astype(np.int64), np.cumsum(is_token)[ends[:-1]])
+        # An empty row is the end of a text. A long text fills several runs.
+        rows = (row for text in group for row in chain(filter(None, pieces(text.lower())), [_END]))
+        runs = pa.chunked_array([_numbered(run) for run in groups_of(rows, 2 * GROUP_BYTES)]).unify_dictionaries()
+        self.distinct = runs.chunk(0).dictionary.view(pa.binary())
+        numbers = np.concatenate([run.indices.to_numpy() for run in runs.chunks], dtype=np.int64)
+        end = pc.index(self.distinct, _END).as_py()
+        return np.split(numbers, np.flatnonzero(numbers == end)[:-1] + 1)
+
+
+def _numbered(rows: list[bytes]) -> pa.DictionaryArray:
+    """The words of all rows, and an empty word for each empty row."""
+    texts = pa.array(rows, pa.binary())
+    lists = pc.ascii_split_whitespace(texts.view(pa.string()))  # at the same six blanks as bytes.split()
+    words = lists.flatten()
+    is_token = pc.binary_length(words).to_numpy() > 0  # there are empty ones at the ends of rows
+    is_token[lists.offsets.to_numpy()[:-1][pc.binary_length(texts).to_numpy() == 0]] = True
+    return words.filter(pa.array(is_token)).dictionary_encode()
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
